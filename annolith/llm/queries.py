@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sentencepiece_codec
+from . import audio, html_extract, packing, pii, quality, sentencepiece_codec
 from .common import table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -22,6 +22,22 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op3_sentencepiece)}
+def op5_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio.digest(audio.store(table(spark, sf_dir, "documents")))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), "corpus-1").select("doc_id", *quality.MEASURES[:5], "base_failed", "kept", "failed", "policy")
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op3_sentencepiece, op5_audio_features, op6_quality_rules, op7_html_extraction, op10_personal_data)}
 
 ORACLES: dict[str, str] = {}
