@@ -14,6 +14,9 @@ Repeated rows are packed as often as they stand there; an empty table gives no r
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -25,15 +28,26 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, stored
 
-#: Chunks whose ids a worker remembers; beyond that it starts afresh.
-REMEMBERED = 300_000
+#: Chunks whose ids a worker remembers, twice: those met lately, and those met before.
+REMEMBERED = 250_000
+#: One run of letters, whose lower case and normal form are simple, and perhaps ASCII marks after it.
+#: An apostrophe is no such mark: the tokenizer cuts contractions there.
+PLAIN = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: printable ones as they are, the rest from U+0100."""
+    same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in same]
+    return {b: chr(b) for b in same} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
 class ChunkCache(dict):
-    """Ids (little-endian uint32) of chunks between ASCII white space.
+    """Ids (little-endian uint32) of chunks between ASCII white space, with A-Z in lower case.
 
     The tokenizer drops white space, and neither its normaliser nor its merges reach across it, so a
-    document's ids are its chunks' ids in a row.
+    document's ids are its chunks' ids in a row.  A plain chunk goes straight to the tokenizer's merges;
+    any other goes through all of it.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -42,32 +56,32 @@ class ChunkCache(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self) > REMEMBERED:
+        self.model, self.letters, self.before = self.tokenizer.model, _byte_letters(), {}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        got = self.before.get(chunk)
+        if got is None:
+            text = chunk.decode()
+            m = PLAIN.fullmatch(text)
+            if m is None:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            else:
+                word, marks = m.groups()
+                word = word if word.isascii() else "".join(map(self.letters.__getitem__, word.lower().encode()))
+                ids = [t.id for t in self.model.tokenize(word)] + ([t.id for t in self.model.tokenize(marks)] if marks else [])
+            got = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
-        new = [c for c in chunks if c not in self]
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for chunk, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[chunk] = np.array(got.ids, "<u4").tobytes()
+        self[chunk] = got
+        return got
 
     def ids(self, text: str) -> bytes:
-        chunks = text.encode().split()
-        words = [c.decode() for c in chunks] if not text.isascii() else text.split() if _only_ascii_space(text) else [c.decode() for c in chunks]
-        self.learn(set(words))
-        return b"".join(map(self.__getitem__, words))
-
-
-def _only_ascii_space(text: str) -> bool:
-    """False where str.split() would also split at the ASCII separators 1C to 1F."""
-    return not any(c in text for c in "\x1c\x1d\x1e\x1f")
+        return b"".join(map(self.__getitem__, text.encode().lower().split()))
 
 
 @lru_cache(maxsize=2)
 def chunk_cache(tokenizer_file: str) -> ChunkCache:
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return ChunkCache(tokenizer_file)
 
