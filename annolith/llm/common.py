@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -41,6 +42,12 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps, which it does once the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_batches(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
     """One Arrow batch out for each batch in; keeps no state from one batch to the next."""
 

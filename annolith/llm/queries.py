@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, html_extract, packing, pii, quality, sentencepiece_codec
+from . import audio, html_extract, licenses, packing, pii, quality, sentencepiece_codec, simhash, substring_dedup
 from .common import table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -18,10 +18,18 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, capacity=2048)[0]
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op5_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.digest(audio.store(table(spark, sf_dir, "documents")))
 
@@ -34,10 +42,27 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op3_sentencepiece, op5_audio_features, op6_quality_rules, op7_html_extraction, op10_personal_data)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_simhash_near_dedup,
+        op3_sentencepiece,
+        op4_license_scan,
+        op5_audio_features,
+        op6_quality_rules,
+        op7_html_extraction,
+        op8_substring_dedup,
+        op10_personal_data,
+    )
+}
 
 ORACLES: dict[str, str] = {}
