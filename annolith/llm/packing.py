@@ -21,7 +21,6 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,14 +171,18 @@ PLACED = "doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigin
 def _packer(turn: int, capacity: int, last: bool, alone: bool):
     """Packs one partition; ``gap`` marks the pieces of sequences to hand over."""
 
-    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
-        lengths = pdf["length"].to_numpy()
+    def packed(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+        lengths = table["length"].to_numpy()
         bins, offsets, held = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(lengths, np.ones(len(lengths), np.int64), capacity)
         loose = (held < capacity) & (not last) & (not alone or len(held) > bound)
-        part = int(pdf["part"].iloc[0])
-        return pdf.assign(sequence_id=(turn << 56) | (part << 28) | bins, offset=offsets, bins=len(held), bound=bound, gap=loose[bins])
+        part = table["part"][0].as_py()
+        n = len(lengths)
+        added = ((turn << 56) | (part << 28) | bins, offsets, np.full(n, len(held)), np.full(n, bound), loose[bins])
+        for name, values in zip(("sequence_id", "offset", "bins", "bound", "gap"), added, strict=True):
+            table = table.append_column(name, pa.array(values))
+        return table
 
     return packed
 
@@ -201,7 +204,7 @@ def pack(pieces: DataFrame, *, capacity: int = 2048, items: int = 40_000, rounds
         last = turn == rounds - 1
 
         dealt = waiting.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(parts)))
-        done = stored(dealt.groupBy("part").applyInPandas(_packer(turn, capacity, last, parts == 1), PLACED.format(kind=kind)), f"packed-{turn}")
+        done = stored(dealt.groupBy("part").applyInArrow(_packer(turn, capacity, last, parts == 1), PLACED.format(kind=kind)), f"packed-{turn}")
         by_part = done.groupBy("part").agg(
             F.first("bins").alias("bins"), F.first("bound").alias("bound"), F.count_distinct(F.when(F.col("gap"), F.col("sequence_id"))).alias("released"), F.count_if("gap").alias("again")
         )

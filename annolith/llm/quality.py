@@ -77,12 +77,13 @@ def _covered(ordered: Column, window: int) -> Column:
     return F.aggregate(places, zero, lambda acc, k: F.struct(k.alias("last"), (acc["n"] + F.least(F.lit(window), k - acc["last"])).alias("n")), lambda acc: acc["n"])
 
 
-def measure(df: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key and MEASURES, computed in one pass over each text."""
+def measure(df: DataFrame, *, text: str = "text", key: str = "doc_id", carry: bool = False) -> DataFrame:
+    """key and MEASURES, computed in one pass over each text; carry adds the whole row as _row."""
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.array_remove(F.split(t, WORD_GAP), "")
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(_without(x, SPACES)) > 0)
-    parts = df.select(F.col(key).alias("doc_id"), t.alias("t"), words.alias("words"), lines.alias("lines"))
+    own = [F.struct(*[df[c] for c in df.columns]).alias("_row")] if carry else []
+    parts = df.select(F.col(key).alias("doc_id"), t.alias("t"), words.alias("words"), lines.alias("lines"), *own)
     letters = F.regexp_replace(F.col("t"), "[^\\p{L}]+", "")
     big = lambda c: c.cast("bigint")
     return parts.select(
@@ -97,6 +98,7 @@ def measure(df: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFr
         big(F.length(letters)).alias("n_alpha"),
         big(F.size(F.filter("words", lambda w: w == "|"))).alias("n_bar_words"),
         big(F.regexp_count(F.col("t"), F.lit("(?i)\\b(?:" + "|".join(ABUSE) + ")\\b"))).alias("n_toxic"),
+        *["_row"] * carry,
     )
 
 
@@ -135,3 +137,13 @@ def judge(df: DataFrame, policy: str = "web-1", *, text: str = "text", key: str
     rows = ledger(measure(df, text=text, key=key))
     base = F.col("failed").bitwiseAND(F.lit(mask(BASE_RULES))) != 0
     return rows.withColumn("base_failed", base).withColumn("kept", ~base & kept(policy)).withColumn("policy", F.lit(policy))
+
+
+def keep(df: DataFrame, policy: str = "corpus-1", *, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows that pass a policy, with all their columns; no row leaves its partition.
+
+    The measurements go through a generator, below which the optimizer does not push the policy's filter:
+    it would otherwise write the measurements into the filter, once for each rule that reads them.
+    """
+    measured = measure(df, text=text, key=key, carry=True).select("_row", F.inline(F.array(F.struct(*MEASURES))))
+    return ledger(measured).where(kept(policy)).select("_row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, html_extract, licenses, packing, pii, quality, sentencepiece_codec, simhash, substring_dedup
+from . import audio, html_extract, licenses, ngram_lm, packing, pii, quality, sentencepiece_codec, simhash, substring_dedup
 from .common import table
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -46,6 +46,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_quality_rules,
         op7_html_extraction,
         op8_substring_dedup,
+        op9_ngram_lm,
         op10_personal_data,
     )
 }

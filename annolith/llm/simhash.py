@@ -166,6 +166,6 @@ def classes(df: DataFrame, *, shingle: int = 4, radius: int = 4, text: str = "te
 
 
 def keep_one(df: DataFrame, *, shingle: int = 4, radius: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of df whose doc_id is the smallest of its component; all columns stay."""
-    out = classes(df, shingle=shingle, radius=radius, text=text, key=key).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return df.join(out, df[key] == out["_kept"], "left_semi")
+    """df without the rows whose doc_id is not the smallest of its component; all columns stay, and rows without a key."""
+    gone = classes(df, shingle=shingle, radius=radius, text=text, key=key).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return df.join(gone, df[key] == gone["_gone"], "left_anti")

@@ -13,7 +13,8 @@ batch's run is added, and runs are compacted into one when there are more than F
 
 Batches come in order of doc_id.  Nothing is gathered but the windows of one document.  Null text counts as
 empty; documents shorter than a window lose nothing; rows that share a doc_id never remove each other's
-words; equal rows give equal results; an empty table gives an empty result.
+words; rows without a doc_id neither lose words nor cost others theirs; equal rows give equal results; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -277,13 +278,16 @@ def remove(df: DataFrame, *, batches: int = 2, length: str | None = "n_chars") -
     place = df.columns.index("text")
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = batch.column(0).flatten()
         new = []
-        for x, r in zip(batch.column(place), batch.column(batch.num_columns - 1), strict=True):
+        for x, r in zip(columns[place], batch.column(1), strict=True):
             text = x.as_py()
             new.append(text if text is None or not r.is_valid else _without(text, r.values.to_numpy().view(np.uint64)))
-        return pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if k == place else c for k, c in enumerate(batch.columns[:-1])], batch.schema.names[:-1])
+        return pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if k == place else c for k, c in enumerate(columns)], df_names)
 
-    joined = df.join(found.select(F.col("doc_id").alias("_id"), F.col("repeats").alias("_repeats")), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    df_names = df.columns
+    whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
+    joined = whole.join(found, F.col("row.doc_id") == found["doc_id"], "left").select("row", "repeats")
     out = map_batches(joined, df.schema, rows)
     return out.withColumn(length, F.length("text").cast(df.schema[length].dataType)) if length in df.columns else out
 
