@@ -33,7 +33,7 @@ def json_lines(spark: SparkSession, path: str, schema: str, *, recursive: bool =
     rows = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("raw"))
     lines = rows.withColumn("line", F.row_number().over(W.partitionBy("file").orderBy("_block", "_id"))).where(F.trim("raw") != "")
     parsed = lines.withColumn("record", F.from_json("raw", schema))
-    return parsed.select("file", "line", "raw", "record", (F.col("record").isNull() | ~F.ltrim("raw").startswith("{")).alias("corrupt"))
+    return parsed.select("file", "line", "raw", "record", (F.try_parse_json("raw").isNull() | ~F.ltrim("raw").startswith("{")).alias("corrupt"))
 
 
 def complete_lines(spark: SparkSession, path: str) -> DataFrame:
