@@ -20,8 +20,11 @@ doc_id, are summed as one document; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ from .packing import chunk_cache
 
 START = 0xFFFF
 ALPHA = 0.4
+#: Units whose bigrams a worker holds at once (a longer document stays whole).
+SLICE = 500_000
 
 
 def token_store(df: DataFrame, tokenizer_file: str, *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -68,6 +73,7 @@ def exploded(tokens: DataFrame) -> DataFrame:
     """
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The bigrams of a few documents."""
         at, grams, own, own_context, own_id, size = [], [], [], [], [], []
         empty = []
         for k, x in enumerate(batch.column(1)):
@@ -96,11 +102,19 @@ def exploded(tokens: DataFrame) -> DataFrame:
         place = pa.array(np.concatenate([cat(at, np.int64), np.array(empty, np.int64)]))
         return pa.RecordBatch.from_arrays([batch.column(0).take(place), gram, *ints], ["doc_id", "gram", "own", "own_context", "own_id", "size"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)) // 2
+            cuts = [0, *(np.flatnonzero(np.diff(units // SLICE)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b > a:
+                    yield rows(batch.slice(a, b - a))
+
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    return map_batches(tokens, f"doc_id {kind}, gram int, own int, own_context int, own_id int, size int", rows)
+    return tokens.mapInArrow(run, f"doc_id {kind}, gram int, own int, own_context int, own_id int, size int")
 
 
-def score(df: DataFrame, tokenizer_file: str, *, vocabulary: int = 49_408, alpha: float = ALPHA, broadcast_rows: int = 4_000_000, text: str = "text", key: str = "doc_id") -> DataFrame:
+def score(df: DataFrame, tokenizer_file: str, *, vocabulary: int = 49_408, alpha: float = ALPHA, broadcast_rows: int = 2_000_000, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_tokens, log_score (natural logarithm, summed), mean_log_score and n_backed_off."""
     tokens = stored(token_store(df, tokenizer_file, text=text, key=key), "tokens")
     bigrams = stored(bigram_counts(tokens), "bigrams")
