@@ -148,6 +148,14 @@ def frame_geometry(objects: DataFrame) -> DataFrame:
     return rows.select("uid", ident.alias("geometry_id"), F.lit("bbox").alias("type"), F.struct(F.col("step_id").alias("subtask_id"), "media_index").alias("binding"), F.struct(F.lit("xyxy").alias("order"), F.lit("norm1000").alias("unit"), F.col("bbox").alias("value")).alias("canonical"), F.col("name").alias("label"))
 
 
+def observation_geometry(observations: DataFrame, task: str) -> DataFrame:
+    """Geometry rows of observed boxes: uid, segment, step_id, event, observation, time_seconds, bbox."""
+    rows = observations.where(F.size("bbox") == 4)
+    ident = F.format_string(f"{task}:segment-%d:event-%d:observation-%d:bbox", "segment", "event", "observation")
+    binding = F.struct(F.col("step_id").alias("subtask_id"), F.col("event").alias("event_index"), F.col("observation").alias("observation_index"), "time_seconds")
+    return rows.select("uid", ident.alias("geometry_id"), F.lit("bbox").alias("type"), binding.alias("binding"), F.struct(F.lit("xyxy").alias("order"), F.lit("norm1000").alias("unit"), F.col("bbox").alias("value")).alias("canonical"))
+
+
 def point_geometry(pairs: DataFrame, task: str) -> DataFrame:
     """Geometry rows of contact points: uid, segment, event, observation (null: the event itself), pair_index, h_xy, o_xy."""
     both = F.array(*[F.struct(F.lit(r).alias("participant_role"), F.col(c).alias("xy")) for r, c in (("contact_agent", "h_xy"), ("contact_object", "o_xy"))])
@@ -171,3 +179,27 @@ def renested(rows: DataFrame, *, key: str, order: str, fields: list[str], into:
     """Flat rows back to one record per key, with an ordered array of structs."""
     whole = F.array_sort(F.collect_list(F.struct(order, *[f for f in fields if f != order])))
     return rows.groupBy(key).agg(whole.alias(into), F.count("*").alias("n"))
+
+
+def public_scope(rows: DataFrame) -> DataFrame:
+    """Without the private columns, whose names begin with an underscore."""
+    return rows.select(*[c for c in rows.columns if not c.startswith("_")])
+
+
+def student_records(examples: DataFrame, *, task: str = "cpa", model: str = "m") -> DataFrame:
+    """One record for each learner example (uid, id, prompt, answer_text, media): the episode's media stays out of it."""
+    turn = lambda role, text, loss: F.struct(F.lit(role).alias("role"), text.alias("content"), F.lit(loss).alias("loss"))
+    return examples.select(
+        F.concat("uid", F.lit(f":annotation:{task}:{model}:"), "id").alias("uid"), F.array("media").alias("media"), F.struct(F.lit(False).alias("thinking_enabled"), F.array(turn("user", F.col("prompt"), False), turn("assistant", F.col("answer_text"), True)).alias("turns")).alias("dialogue"),
+    )
+
+
+def step_index(records: DataFrame) -> DataFrame:
+    """(alias, result) of prior step records of all layouts, ready for a lookup; ``sets.conflicts`` finds disagreements."""
+    return subtask_layouts(records).select(F.explode("keys").alias("alias"), F.col("result"))
+
+
+def readiness(records: DataFrame, *, sources: list[str] | None = None) -> DataFrame:
+    """(records, selected, invalid) of classified records: how many uids of the sources could be handed on."""
+    wanted = F.col("source_key").isin(*sources) if sources else F.lit(True)
+    return records.agg(F.count("*").alias("records"), F.count_distinct(F.when(F.col("compatible") & wanted, F.col("uid"))).alias("selected"), F.count_if(~F.col("compatible")).alias("invalid"))
