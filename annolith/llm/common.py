@@ -48,13 +48,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Rows that a worker takes of a batch at once, so that what it makes of them stays small.
+ROWS = 1024
+
+
 def map_batches(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
-    """One Arrow batch out for each batch in; keeps no state from one batch to the next."""
+    """One Arrow batch out for each slice of a batch in; keeps no state from one to the next."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield rows(batch)
+            for k in range(0, batch.num_rows, ROWS):
+                yield rows(batch.slice(k, ROWS))
 
     return df.mapInArrow(run, schema)
 

@@ -31,7 +31,7 @@ from .common import map_batches, release, scratch, stored
 
 WINDOW, GRAM, FAN = 50, 8, 4
 BASE = np.uint64(0x9E3779B97F4A7C15)
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 
 class _Words(dict):
