@@ -72,3 +72,43 @@ def test_one_of_each_group_stays(odd, none):
     ids = sorted(str(r.doc_id) for r in kept.collect())
     assert ids == ["1", "4", "5", "7", "7", "None"]  # 2 and 3 join 1; 6 repeats 4; both rows of 7 are one document
     assert simhash.keep_one(none).count() == 0 and simhash.classes(none).count() == 0
+
+
+def plain_links(rows, k=5):
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} if w else set()
+    ids = sorted(sets)
+    return {(a, b) for n, b in enumerate(ids) for a in ids[:n] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}, sets
+
+
+def test_similar_links(spark, corpus, none):
+    """Every link is right, and all near copies are joined: edits of every 40th word leave a similarity of about 0.8."""
+    words = [f"w{k * k % 9973}" for k in range(400)]
+    rows = [(r.doc_id, r.text) for r in corpus.collect()] + [(5000, " ".join(words)), (5001, " ".join(w if k % 60 else "x" for k, w in enumerate(words))), (5002, " ".join(w if k % 7 else "y" for k, w in enumerate(words))), (5003, " ".join(words).upper() + " "), (5004, None), (5005, " ")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want, sets = plain_links(rows)
+    got = {(r.a, r.b) for r in simhash.similar_links(df).collect()}
+    assert got <= want and (5000, 5003) in got and (5004, 5005) in got and (5000, 5002) not in got
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in got:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    missed = [p for p in want if root(p[0]) != root(p[1])]
+    assert len(missed) <= 0.02 * len(want)
+    assert simhash.similar_links(none).count() == 0
+
+
+def test_large_groups_of_near_copies(spark):
+    """More copies than a bucket's pairwise limit, each with an edit of its own."""
+    words = [f"v{k * 7 % 1009}" for k in range(300)]
+    rows = [(0, " ".join(words))] + [(k, " ".join(w if j != k * 2 else "edit" + str(k) for j, w in enumerate(words))) for k in range(1, 120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r.doc_id for r in simhash.keep_one(df).collect()] == [0]
