@@ -182,7 +182,7 @@ class FingerprintIndex:
 
     def add(self, run: DataFrame) -> None:
         path = scratch(self.spark, "run")
-        run.repartitionByRange("anchor").sortWithinPartitions("anchor", "doc_id").write.parquet(path)
+        run.repartitionByRange("anchor", "doc_id").sortWithinPartitions("anchor", "doc_id").write.parquet(path)
         self.runs.append(self.spark.read.schema(run.schema).parquet(path))
         if len(self.runs) > self.fan:
             self.compact()
@@ -198,16 +198,17 @@ class FingerprintIndex:
             out = run if out is None else out.unionByName(run)
         return out
 
-    def ingest(self, batch: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    def ingest(self, batch: DataFrame, history: DataFrame | None = None, *, keep: bool = True) -> DataFrame:
         """(doc_id, repeats): hashes of the windows of each document of the batch that an earlier one has.
 
-        history has doc_id and text of the documents in the runs.
+        history has doc_id and text of the documents in the runs.  Without keep the batch adds no run: the
+        last batch of a table that will not grow.
         """
         new = stored(postings(batch), "postings")
         spans = new.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
         old = self.all()
         if old is None:
-            shared = stored(spans.where("lo < hi").select("anchor"), "shared")
+            shared = spans.where("lo < hi").select("anchor")
         else:
             known = old.groupBy("anchor").agg(F.min("doc_id").alias("before"))
             shared = stored(spans.hint("merge").join(known, "anchor", "left").where("lo < hi OR before IS NOT NULL").select("anchor"), "shared")
@@ -222,7 +223,8 @@ class FingerprintIndex:
         first = stored(every.groupBy("h", "c").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h", "c", "lo"), "first")
         hits = own.join(first, ["h", "c"]).where("doc_id > lo").groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
         out = stored(hits, "repeats")
-        self.add(new)
+        if keep:
+            self.add(new)
         release(self.spark)
         return out
 
@@ -237,7 +239,7 @@ def repeats(df: DataFrame, *, batches: int = 2, fan: int = FAN) -> DataFrame:
         top = None if k == batches - 1 or ends[0] is None else ends[0] + (ends[1] - ends[0] + 1) * (k + 1) // batches
         some = df if past is None else df.where(F.col("doc_id") >= past)
         some = some if top is None else some.where(F.col("doc_id") < top)
-        got = index.ingest(some, None if past is None else df.where(F.col("doc_id") < past))
+        got = index.ingest(some, None if past is None else df.where(F.col("doc_id") < past), keep=top is not None)
         out = got if out is None else out.unionByName(got)
         past = top
         if top is None:
