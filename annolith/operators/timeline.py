@@ -83,7 +83,7 @@ def segments_to_steps(segments: DataFrame, *, uid: str = "uid", pos: str = "pos"
     order = W.partitionBy(uid).orderBy("_start", "_p")
     # A chain of starts, each within the tolerance of the one before, keeps its last row.
     last_of_chain = F.lead("_start").over(order).isNull() | (F.lead("_start").over(order) - F.col("_start") > SAME_START_S)
-    kept = good.where(F.lit(True)).withColumn("_stay", last_of_chain).where("_stay")
+    kept = good.withColumn("_stay", last_of_chain).where("_stay")
     order = W.partitionBy(uid).orderBy("_start", "_p")
     following, is_last = F.lead("_start").over(order), F.lead("_start").over(order).isNull()
     top = F.greatest(F.lit(0), F.col("media_count") - 1)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from annolith.functions import pyfuncs, scalar
 from annolith.operators import events as ev
-from annolith.operators import grids, inventory, lookup, points, rates, records, sets, timeline
+from annolith.operators import contracts, grids, inventory, lookup, points, provider, rates, records, reuse, sets, timeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -504,3 +504,101 @@ def task_text(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.col("text").alias("content"))
     out = records.renested(c, key="conv_id", order="turn", fields=["role", "content"], into="turns")
     return out.select("conv_id", F.sha2(records.task_text(none, none, F.col("turns")), 256).alias("text_sha256"))
+
+
+# Compositions
+
+
+@query(f"""WITH {USER_EVENTS}, s AS (SELECT uid, pos, t AS a, lead(t) OVER (PARTITION BY uid ORDER BY pos) AS b FROM ue), v AS (SELECT uid, pos, CASE WHEN pos = 1 THEN 0 ELSE a END AS a, b + CASE WHEN uid % 3 = 0 THEN 0.5 ELSE 0 END AS b FROM s WHERE b IS NOT NULL),
+c AS (SELECT *, lag(b) OVER (PARTITION BY uid ORDER BY pos) AS p, max(b) OVER (PARTITION BY uid) AS d, row_number() OVER (PARTITION BY uid ORDER BY pos DESC) AS z FROM v)
+SELECT uid, concat_ws(',', CASE WHEN max(CASE WHEN a < 0 OR b <= a THEN 1 ELSE 0 END) = 1 THEN 'subtask_invalid_bounds' END, CASE WHEN max(CASE WHEN abs(a - p) > 1e-4 THEN 1 ELSE 0 END) = 1 THEN 'subtask_noncontiguous' END, CASE WHEN max(CASE WHEN z = 1 AND abs(b - (d + uid % 2)) > 0.5 THEN 1 ELSE 0 END) = 1 THEN 'subtask_final_end_mismatch' END) AS errors FROM c GROUP BY uid""")
+def step_validation(spark, sf_dir):
+    by, whole = W.partitionBy("uid").orderBy("pos"), W.partitionBy("uid")
+    e = user_events(spark, sf_dir).withColumn("end_s", F.lead("t").over(by)).where("end_s IS NOT NULL")
+    steps = e.select("uid", "pos", F.col("event_type").alias("subtask"), F.when(F.col("pos") == 1, 0.0).otherwise(F.col("t")).alias("start_s"), (F.col("end_s") + F.when(F.col("uid") % 3 == 0, 0.5).otherwise(0.0)).alias("end_s"), F.lit(True).alias("has_video"), F.lit(0).alias("media_count"), F.lit(None).cast("int").alias("start_i"), F.lit(None).cast("int").alias("end_i"))
+    steps = steps.withColumn("duration", F.max("end_s").over(whole) + F.col("uid") % 2)
+    return timeline.validate(steps).select("uid", F.array_join("errors", ",").alias("errors"))
+
+
+@query("""WITH s AS (SELECT l_orderkey AS uid, l_linenumber AS pos, l_quantity, CAST(l_quantity AS BIGINT) % 7 AS a, CAST(l_partkey % 9 AS BIGINT) AS w FROM lineitem), g AS (SELECT uid, pos, w, a, least(12, 14 - x) AS n, x AS anchor_media FROM (SELECT *, unnest(range(a, least(a + w + 1, 14))) AS x FROM s))
+SELECT uid, pos, anchor_media, anchor_media + n - 1 AS future_end, 12 - n AS padding, count(*) AS copies FROM g GROUP BY ALL""")
+def image_anchors(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem")
+    a = l["l_quantity"].cast("int") % 7
+    steps = l.select(F.col("l_orderkey").alias("uid"), F.col("l_linenumber").alias("pos"), a.alias("start_i"), (a + F.col("l_partkey") % 9).cast("int").alias("end_i"), F.lit(14).alias("media_count"))
+    big = lambda c: F.col(c).cast("bigint").alias(c)
+    return grids.image_anchors(steps).groupBy("uid", "pos", big("anchor_media"), big("future_end"), big("padding")).agg(F.count("*").alias("copies"))
+
+
+@query("""WITH r AS (SELECT conv_id, turn, role, length(text) % 4 AS k, count(*) OVER (PARTITION BY conv_id % 40) AS n, row_number() OVER (PARTITION BY conv_id % 40 ORDER BY conv_id, turn) AS i FROM conversations),
+f AS (SELECT unnest([x FOR x IN [CASE WHEN k = 1 THEN 'wrong_model' END, CASE WHEN k = 2 THEN 'wrong_contract' END, CASE WHEN k = 3 THEN 'adjacent_identical_subtask' END, CASE WHEN i > 1 THEN 'duplicate_input_uid' END] IF x IS NOT NULL]) AS key FROM r)
+SELECT 'records' AS figure, '' AS key, count(*) AS n FROM r UNION ALL SELECT 'unique_uids', '', count(DISTINCT conv_id % 40) FROM r UNION ALL SELECT 'source', role, count(*) FROM r GROUP BY role UNION ALL SELECT 'failure', key, count(*) FROM f GROUP BY key
+UNION ALL SELECT 'failure', 'unexpected_unique_uid_count', 1 WHERE (SELECT count(DISTINCT conv_id % 40) FROM r) <> (SELECT count(*) FROM r)""")
+def record_audit(spark, sf_dir):
+    """JSON records made of the turns, parsed and audited as a stage: one uid for each fortieth conversation."""
+    c = table(spark, sf_dir, "conversations")
+    k = F.length("text") % 4
+    step = lambda name: F.struct(name.alias("subtask"))
+    steps = F.array(step(F.lit("open")), step(F.when(k == 3, " Open ").otherwise("close")))
+    extension = F.struct(F.lit("subtask").alias("annotation_task"), F.lit("p").alias("provider"), F.when(k == 1, "old").otherwise("m").alias("model"), F.struct(steps.alias("subtasks")).alias("result"), F.array().cast("array<string>").alias("requests"))
+    annotation = F.struct(F.when(k == 2, "other").otherwise(contracts.CONTRACT_IDS["subtask"][0]).alias("contract_id"))
+    record = F.struct(F.lit(records.RECORD_SCHEMA).alias("schema_version"), F.col("role").alias("source_key"), F.struct(extension.alias("robot_extension")).alias("annotations"), F.struct((F.col("conv_id") % 40).cast("string").alias("input_record_uid"), annotation.alias("annotation")).alias("provenance"))
+    lines = c.select(F.col("conv_id").alias("file"), F.col("turn").alias("line"), F.to_json(record).alias("value"))
+    audited = records.audit(lines, task="subtask", provider="p", model="m", contract_id=contracts.CONTRACT_IDS["subtask"][0])
+    return records.audit_summary(audited, expected=c.count())
+
+
+@query("""WITH m AS (SELECT CAST(c_custkey AS VARCHAR) || CASE WHEN c_custkey % 4 = 0 THEN ':view=left' ELSE '' END AS uid, c_custkey AS k FROM customer), a AS (SELECT c_custkey AS k FROM customer WHERE c_nationkey < 15), d AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS uid FROM orders WHERE o_orderstatus = 'P'),
+e AS (SELECT uid, k FROM m WHERE k IN (SELECT k FROM a) AND uid NOT IN (SELECT uid FROM d)), h AS (SELECT *, CAST(CAST('0x' || substr(sha256(uid), 1, 16) AS UBIGINT) % 8 AS INTEGER) AS slot FROM e), s AS (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY k) AS n FROM h)
+SELECT 'master' AS figure, count(*) AS n FROM m UNION ALL SELECT 'available', count(*) FROM a UNION ALL SELECT 'completed', count(*) FROM d UNION ALL SELECT 'excluded', 0 UNION ALL SELECT 'eligible', count(*) FROM e UNION ALL SELECT 'scheduled', count(*) FROM s WHERE n <= 20""")
+def generation(spark, sf_dir):
+    """One scheduling round: master list, availability by primary view, ledgers, stable slots and their cap."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    text = F.col("c_custkey").cast("string")
+    master = c.select(F.when(F.col("c_custkey") % 4 == 0, F.concat(text, F.lit(":view=left"))).otherwise(text).alias("uid"), F.col("c_custkey").alias("pos"))
+    available, completed = c.where("c_nationkey < 15").select(text.alias("uid")), o.where("o_orderstatus = 'P'").select(F.col("o_custkey").cast("string").alias("uid")).distinct()
+    excluded = completed.where("false")
+    chosen = sets.eligible(master, available, completed, excluded)
+    return reuse.generation_manifest(master, available, completed, excluded, chosen, sets.slotted(chosen, 8, cap=20))
+
+
+@query("""WITH s AS (SELECT c_custkey, CAST(c_custkey AS VARCHAR) || CASE WHEN c_custkey % 2 = 0 THEN ':view=x' ELSE '' END AS uid FROM customer), r AS (SELECT CAST(o_custkey AS VARCHAR) AS k, CASE WHEN o_orderpriority < '3' THEN 'exact' ELSE 'pack' END AS place, CAST(o_orderkey AS VARCHAR) AS record, o_orderstatus <> 'P' AS ok FROM orders),
+j AS (SELECT s.uid, record, place, CASE WHEN record IS NULL THEN 'not_found' WHEN NOT ok THEN 'contract_invalid' END AS error FROM s LEFT JOIN r ON r.k = split_part(s.uid, ':view=', 1)),
+o AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY error IS NOT NULL, CASE WHEN place = 'exact' THEN 1 WHEN place = 'pack' THEN 4 ELSE 99 END, sha256(coalesce(record, ''))) AS n FROM j)
+SELECT uid, CASE WHEN error IS NULL THEN record END AS record, place, error, NOT contains(uid, ':view=') AS primary_view FROM o WHERE n = 1""")
+def located_records(spark, sf_dir):
+    text = F.col("c_custkey").cast("string")
+    sources = table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 2 == 0, F.concat(text, F.lit(":view=x"))).otherwise(text).alias("uid"), F.lit("h").alias("subtask_sha"))
+    o = table(spark, sf_dir, "orders")
+    stored = o.select(F.col("o_custkey").cast("string").alias("uid"), F.when(F.col("o_orderpriority") < "3", "exact").otherwise("pack").alias("place"), F.col("o_orderkey").cast("string").alias("record"), (F.col("o_orderstatus") != "P").alias("contract_ok"), F.lit("cpa_final").alias("authority"), F.lit("h").alias("subtask_sha"))
+    return reuse.located(sources, stored)
+
+
+@query(f"""WITH {PAIRS}, o AS (SELECT uid, event_id, pair_index, o, count(*) OVER (PARTITION BY uid, event_id) AS k FROM pp) SELECT uid, event_id, CAST(min(k) AS INTEGER) AS object_points, '{{"object": [' || string_agg(printf('[%.2f, %.2f]', o[1] / 1000, o[2] / 1000), ', ' ORDER BY 'O' || pair_index, o[1], o[2]) || ']}}' AS answer_text FROM (SELECT * FROM o WHERE o[1] % 10 <> 5 AND o[2] % 10 <> 5) GROUP BY uid, event_id HAVING min(k) = count(*)""")
+def coordinate_questions(spark, sf_dir):
+    """Answers in two decimals, for events none of whose coordinates lies halfway between two."""
+    rows = points.point_rows(_point_pairs(spark, sf_dir)).where("role = 'contacted_object'")
+    rows = rows.withColumn("_half", F.exists("xy", lambda v: v % 10 == 5)).withColumn("raw_xy", F.col("xy")).withColumn("xy", F.transform("xy", lambda v: v / 1000)).withColumn("role", F.lit("object")).withColumn("query_frame", F.lit(1)).withColumn("contact_frame", F.lit(2))
+    halves = rows.where("_half").select("uid", "event_id").distinct()
+    made = points.questions(rows.join(halves, ["uid", "event_id"], "left_anti"))
+    return made.select("uid", "event_id", "object_points", "answer_text")
+
+
+@query("WITH r AS (SELECT event_id, user_id % 50 AS p, event_type AS t FROM events), c AS (SELECT DISTINCT p, t FROM r WHERE p % 3 = 0) SELECT event_id, CASE WHEN c.p IS NOT NULL THEN t || '/' || r.p END AS raw, CASE WHEN c.p IS NULL THEN 'not_recorded' END AS error FROM r LEFT JOIN c USING (p, t)")
+def replayed_answers(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    p = (F.col("user_id") % 50).cast("string")
+    asked = e.select("event_id", "event_type", p.alias("p"), provider.request_hash(F.col("event_type"), p).alias("request_hash"))
+    recorded = asked.where("CAST(p AS INT) % 3 = 0").select("request_hash", F.concat_ws("/", "event_type", "p").alias("raw"))
+    return provider.replayed(asked, recorded).select("event_id", "raw", "error")
+
+
+@query("""WITH b AS (SELECT p_partkey, p_brand AS uid, p_partkey % 500 AS frame, p_name AS name, p_type AS color FROM part), n AS (SELECT *, count(*) OVER (PARTITION BY uid, frame) AS k FROM b) SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE name END AS chosen, CASE WHEN p_partkey % 3 = 0 THEN 'not_in_inventory' END AS error FROM n WHERE k = 1""")
+def first_object(spark, sf_dir):
+    """One object a frame: its name in other letters is found, a foreign name is not."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("uid"), (F.col("p_partkey") % 500).alias("frame"), F.col("p_name").alias("name"), F.lit("").alias("alternate_name"), F.lit("").alias("color"))
+    alone = p.groupBy("uid", "frame").agg(F.count("*").alias("k")).where("k = 1")
+    p = p.join(alone, ["uid", "frame"], "left_semi")
+    said = p.select("uid", "frame", "p_partkey", F.when(F.col("p_partkey") % 3 == 0, "zzz qqq").otherwise(F.concat(F.lit(" "), F.upper("name"))).alias("reported"))
+    out = inventory.first_object(said.select("uid", "frame", "reported"), p)
+    return said.select("uid", "frame", "p_partkey").join(out, ["uid", "frame"]).select("p_partkey", "chosen", "error")
