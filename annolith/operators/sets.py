@@ -134,24 +134,40 @@ def ledger_union(*ledgers: DataFrame, uid: str = "uid") -> DataFrame:
     return out.distinct()
 
 
-def labelled_batches(rows: DataFrame, size: int, *, order: str | list[str], prefix: str = "manifest-", limit: int | None = None) -> DataFrame:
-    """Fixed-size batches in a stated order, numbered before any later filter; the first row's source_key files the batch.
+def numbered(rows: DataFrame, order: list[str], *, per_range: int = 100_000, ranges: int = 256) -> DataFrame:
+    """Adds row_index, the place of each row in the stated order, without one task that sorts everything.
 
-    Row numbers come from counts per range partition, not from one task that sorts everything.
+    The order's range is cut at keys of a seeded sample (a few thousand rows reach the driver).  The cuts are
+    literals from then on, so a range holds the same rows whenever and wherever it is computed again; sizes
+    of the ranges give the offsets, and a row number within each range the rest.
     """
-    order = [order] if isinstance(order, str) else order
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id())
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_mono").alias("_base")).orderBy("_part").collect()  # a row for each partition
-    start, offsets = 0, []
-    for part, n, base in counts:
-        offsets.append((part, start - base))
-        start += n
-    table = rows.sparkSession.createDataFrame(offsets or [(0, 0)], "_part int, _shift bigint")
-    numbered = ranged.join(F.broadcast(table), "_part").withColumn("row_index", F.col("_mono") + F.col("_shift"))
-    out = numbered.withColumn("_batch", F.floor(F.col("row_index") / size)).withColumn("batch", F.concat(F.lit(prefix), F.lpad(F.col("_batch").cast("string"), 6, "0")))
+    n = rows.count()
+    parts = max(1, min(ranges, -(-n // per_range)))
+    keys = []
+    if parts > 1:
+        sample = rows.select(*order).sample(min(1.0, 50 * parts / n), seed=7).orderBy(*order).collect()
+        keys = [sample[len(sample) * k // parts] for k in range(1, parts)] if sample else []
+    here = F.struct(*order)
+    types = [rows.schema[c].dataType for c in order]
+    cuts = [F.struct(*[F.lit(k[c]).cast(t).alias(c) for c, t in zip(order, types, strict=True)]) for k in keys]
+    part = F.size(F.filter(F.array(*cuts), lambda k: k <= here)) if cuts else F.lit(0)
+    ranged = rows.withColumn("_range", part)
+    sizes = dict(ranged.groupBy("_range").count().collect())  # a row for each range
+    start, at = {}, 0
+    for k in sorted(sizes):
+        start[k], at = at, at + sizes[k]
+    offset = F.create_map(*[F.lit(x) for pair in start.items() for x in pair])[F.col("_range")] if start else F.lit(0)
+    place = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1
+    return ranged.withColumn("row_index", offset.cast("bigint") + place).drop("_range")
+
+
+def labelled_batches(rows: DataFrame, size: int, *, order: str | list[str], prefix: str = "manifest-", limit: int | None = None) -> DataFrame:
+    """Fixed-size batches in a stated order, numbered before any later filter: adds row_index and batch."""
+    out = numbered(rows, [order] if isinstance(order, str) else order)
+    out = out.withColumn("_batch", F.floor(F.col("row_index") / size)).withColumn("batch", F.concat(F.lit(prefix), F.lpad(F.col("_batch").cast("string"), 6, "0")))
     if limit is not None:
         out = out.where(F.col("_batch") < limit)
-    return out.drop("_part", "_mono", "_shift", "_batch")
+    return out.drop("_batch")
 
 
 def first_per_batch(rows: DataFrame, n: int, *, batch: str = "batch", order: str = "row_index") -> DataFrame:

@@ -71,6 +71,15 @@ def test_batches_count_before_filters(spark):
     assert first.where("pos = 1").first().source_key == "s1" and sorted(r.pos for r in again.collect()) == [1, 2]
 
 
+def test_numbering_in_ranges(spark):
+    """Ranges cut at sampled keys give the same places as one sort would, ties and nulls included."""
+    df = spark.createDataFrame([(f"f{k % 7}" if k % 50 else None, k // 3) for k in range(1000)], "file string, line int")
+    got = sets.numbered(df, ["file", "line"], per_range=100).orderBy("row_index").collect()
+    want = df.orderBy("file", "line").collect()
+    assert [r.row_index for r in got] == list(range(1000)) and [(r.file, r.line) for r in got] == [(r.file, r.line) for r in want]
+    assert sets.numbered(df.where("false"), ["line"]).count() == 0
+
+
 def test_aliases(spark):
     rows = spark.createDataFrame([("u1", "s1", "/d/a.mp4", "r1"), ("u2", "s2", "/d/b.txt", "r2"), ("u3", None, "/e/a.mp4", "r3")], "uid string,source_uid string,path string,res string")
     index = lookup.aliases(rows)
