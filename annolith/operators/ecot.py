@@ -134,8 +134,7 @@ def review_current(frame: Column | str, model: Column | str) -> Column:
     return pyfuncs._typed(_holds, "string")(frame, model) == "true"
 
 
-def reviewed(records: DataFrame) -> DataFrame:
-    """Adds is_reviewed to records (frames: array of frame JSON, model): all frames hold, and there is one model."""
-    rows = records.withColumn("_id", F.monotonically_increasing_id())
-    each = rows.select("_id", F.explode("frames").alias("frame"), "model").withColumn("ok", review_current("frame", "model"))
-    return rows.join(each.groupBy("_id").agg(F.bool_and("ok").alias("_ok")), "_id", "left").withColumn("is_reviewed", F.coalesce("_ok", F.lit(True))).drop("_id", "_ok")
+def reviewed(records: DataFrame, *, uid: str = "uid") -> DataFrame:
+    """Adds is_reviewed to records (frames: array of frame JSON, model): all frames of a uid hold; true without frames."""
+    each = records.select(uid, F.explode("frames").alias("frame"), "model").withColumn("ok", review_current("frame", "model"))
+    return records.join(each.groupBy(uid).agg(F.bool_and("ok").alias("_ok")), uid, "left").withColumn("is_reviewed", F.coalesce("_ok", F.lit(True))).drop("_ok")
