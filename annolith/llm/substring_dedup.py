@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, release, scratch, stored
+from .common import discard, map_batches, release, scratch, stored
 
 WINDOW, GRAM, FAN = 50, 8, 4
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -208,7 +208,7 @@ class FingerprintIndex:
         spans = new.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
         old = self.all()
         if old is None:
-            shared = spans.where("lo < hi").select("anchor")
+            shared = stored(spans.where("lo < hi").select("anchor"), "shared")
         else:
             known = old.groupBy("anchor").agg(F.min("doc_id").alias("before"))
             shared = stored(spans.hint("merge").join(known, "anchor", "left").where("lo < hi OR before IS NOT NULL").select("anchor"), "shared")
@@ -218,13 +218,15 @@ class FingerprintIndex:
             return stored(windows(documents.select("doc_id", "text").join(of, "doc_id")), what)
 
         own = marked(batch, new, "windows")
-        every = own if old is None else own.unionByName(marked(history, old, "old-windows"))
+        others = [] if old is None else [marked(history, old, "old-windows")]
+        every = own.unionByName(others[0]) if others else own
         release(self.spark)
         first = stored(every.groupBy("h", "c").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h", "c", "lo"), "first")
         hits = own.join(first, ["h", "c"]).where("doc_id > lo").groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
         out = stored(hits, "repeats")
         if keep:
             self.add(new)
+        discard(own, *others, first, shared, new)
         release(self.spark)
         return out
 
