@@ -9,8 +9,8 @@ pair is missed, whatever the data.  There are 2^(r+1) - 1 tables, each of about
 Texts with one fingerprint are one node from the start, so copies never meet in a bucket.  Within a bucket
 components are grown one member at a time, against the members not reached yet, and written as links to
 the component's smallest; no bucket writes more links than it has members.  A bucket holds distinct
-fingerprints only, 8 bytes each.  Components over all buckets come from min-label propagation with
-pointer jumping on stored tables.
+fingerprints only, 8 bytes each.  Components over all buckets come from hooking to the
+smallest neighbour and contracting, on stored tables.
 
 Null text counts as empty: no shingles, fingerprint zero, linked like any other.  Repeated rows and ties
 share a component; an empty table gives an empty result; other columns do not matter.
@@ -136,23 +136,28 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
 
 
 def components(edges: DataFrame, *, rounds: int = 100) -> DataFrame:
-    """node and label (the smallest node that it reaches) of every node that has a link.
+    """node and label (the smallest node that it reaches) of every node that has a link (a, b).
 
-    Each round takes the smallest label among the neighbours, then the label that this one had; it stops when
-    nothing changes.  Both sides of a join on a key that may be hot (a node with very many links, a label of
-    very many nodes) are shuffled for that join alone, so that Spark can split the key.
+    Each round hooks every node of the graph to its smallest neighbour, follows that hook once more, and
+    contracts the links to what their ends are hooked to; it stops when no link is left.  Links of a dense
+    group meet after one contraction, so later rounds hold few.  Smallest neighbours are combined before
+    the shuffle, and both sides of the joins are stored tables, so that a node with very many links is split.
     """
-    both = stored(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))), "links")
-    label = stored(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("label")), "labels")
+    open_ = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    label = None
     for _ in range(rounds):
-        around = both.join(label, both.v == label.node).groupBy("u").agg(F.min("label").alias("near"))
-        nearer = label.join(around, label.node == around.u, "left").select("node", F.least("label", F.coalesce("near", "label")).alias("label"), F.col("label").alias("old"))
-        of = label.select(F.col("node").alias("label_node"), F.col("label").alias("further"))
-        jumped = nearer.join(of, nearer.label == of.label_node, "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label"), "old")
-        new = stored(jumped, "jumped")
-        changed = new.where("label <> old").limit(1).count()
-        label = new.select("node", "label")
-        if not changed:
+        ends = open_.select(F.col("a").alias("x"), F.col("a").alias("y")).unionByName(open_.select(F.col("b").alias("x"), F.col("a").alias("y")))
+        hook = stored(ends.groupBy("x").agg(F.min("y").alias("y")), "hooks")
+        further = hook.select(F.col("x").alias("y"), F.col("y").alias("z"))
+        to = stored(hook.join(further, "y").select("x", F.col("z").alias("to")), "targets")
+        if label is None:
+            label = to.select(F.col("x").alias("node"), F.col("to").alias("label"))
+        else:
+            label = stored(label.join(to, label.label == to.x, "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+        left = open_.join(to.select(F.col("x").alias("a"), F.col("to").alias("p")), "a").select("b", "p")
+        both = left.join(to.select(F.col("x").alias("b"), F.col("to").alias("q")), "b").where("p <> q")
+        open_ = stored(both.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct(), "links")
+        if not open_.limit(1).count():
             break
     return label
 
@@ -172,8 +177,6 @@ def classes(df: DataFrame, *, shingle: int = 4, radius: int = 4, text: str = "te
 
 #: Independent fingerprints of a text's distinct words; a pair needs to be near in one of them.
 SEEDS = (1, 2, 3, 4)
-#: Of a large bucket, how many of its nearest neighbours each member is held against.
-NEAREST = 2
 REMEMBERED = 50_000
 
 
@@ -239,12 +242,16 @@ def _bucket_pairs(radius: int, similarity: float):
                 found.append(np.stack([at, at + lag], axis=1))
         for k in np.flatnonzero(sizes > 8):
             a, z = starts[k], starts[k] + sizes[k]
+            bits = np.unpackbits(fp[a:z].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            middle = np.packbits(bits * 2 > z - a).view(np.uint64)[0]
+            centre = a + int(np.argmin(np.bitwise_count(fp[a:z] ^ middle)))
+            found.append(np.stack([np.full(z - a, centre), np.arange(a, z)], axis=1))
             for i in range(a, z):
                 far = np.bitwise_count(fp[a:z] ^ fp[i]).astype(np.int16)
                 far[i - a] = 999
-                near = np.argpartition(far, NEAREST)[:NEAREST]
-                near = near[far[near] <= radius] + a
-                found.append(np.stack([np.full(len(near), i), near], axis=1))
+                near = int(np.argmin(far))
+                if far[near] <= radius:
+                    found.append(np.array([[i, near + a]]))
         at = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         x, y = np.minimum(n[at[:, 0]], n[at[:, 1]]), np.maximum(n[at[:, 0]], n[at[:, 1]])
         at = at[x >= similarity * y]
@@ -275,8 +282,9 @@ def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, r
 
     Candidates share a bucket of a covering table for one of the seeds and are within the radius there; all of
     them are verified on whole texts.  Texts of equal words are one node.  In buckets of over 8 texts a text
-    is held against its NEAREST nearest, so that no bucket gives more pairs than NEAREST times its rows.  Measured
-    recall stands in the README; precision is exact.
+    is held against the bucket's centre (the text nearest to the majority of its bits, as a rule the original of
+    many copies) and against its own nearest, so that no bucket gives more than two pairs for each row.
+    Precision is exact; the measured recall stands in the README.
     """
     docs = stored(signatures(df, shingle=shingle, text=text, key=key), "signatures")
     copies = docs.groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("bits").alias("bits"))
@@ -309,7 +317,12 @@ def keep_one(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius
     A group is joined by links of both kinds: fingerprints of 4-word shingles at most 4 bits apart, and sets
     of ``shingle``-word shingles of at least the given similarity.
     """
-    alike = classes(df, radius=4, text=text, key=key).where("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
-    label = components(alike.unionByName(similar_links(df, shingle=shingle, similarity=similarity, radius=radius, text=text, key=key)).distinct())
+    docs = stored(fingerprints(df, text=text, key=key).where("doc_id IS NOT NULL"), "fingerprints")
+    nodes = stored(docs.groupBy("bits").agg(F.min("doc_id").alias("least")), "nodes")
+    equal = docs.join(nodes, "bits").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    found = stored(links(nodes, 4), "bit-links")
+    named = found.join(nodes.select(F.col("bits").alias("a"), F.col("least").alias("x")), "a").join(nodes.select(F.col("bits").alias("b"), F.col("least").alias("y")), "b")
+    alike = equal.unionByName(named.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    label = components(alike.unionByName(similar_links(df, shingle=shingle, similarity=similarity, radius=radius, text=text, key=key)))
     gone = label.where("node <> label").select(F.col("node").alias("_gone"))
     return df.join(gone, df[key] == gone["_gone"], "left_anti")
