@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, stored
 
 #: Chunks whose ids a worker remembers, twice: those met lately, and those met before.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 #: One run of letters, whose lower case and normal form are simple, and perhaps ASCII marks after it.
 #: An apostrophe is no such mark: the tokenizer cuts contractions there.
 PLAIN = re.compile("([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
