@@ -138,7 +138,7 @@ def image_intervals(events: DataFrame, *, lookback: float = 1.0, gap: float = 0.
 def observations(intervals: DataFrame, *, count: int = 3, seed: int = 0) -> DataFrame:
     """A seeded sample of eligible frames for each event: frames between the bounds that are no contact's.
 
-    Adds eligible (how many), sampled (an array), and sampled_sha, the draw that column functions alone can
+    Adds eligible (how many), sampled (an array), and sampled_hash, the draw that column functions alone can
     make: the ``count`` frames with the smallest hash of seed and frame (another choice, as well mixed).
     """
     contacts = intervals.groupBy("uid").agg(F.collect_set("contact_frame").alias("_contacts"))
@@ -147,8 +147,8 @@ def observations(intervals: DataFrame, *, count: int = 3, seed: int = 0) -> Data
         F.lit(f"[{seed},"), F.to_json(F.array("uid")).substr(F.lit(2), F.length(F.to_json(F.array("uid"))) - 2), F.lit(","), F.coalesce(F.col("step_id").cast("string"), F.lit("null")), F.lit(","),
         F.coalesce(F.to_json(F.array("event_id")).substr(F.lit(2), F.length(F.to_json(F.array("event_id"))) - 2), F.lit("null")), F.lit(","), F.coalesce(F.col("contact_frame").cast("string"), F.lit("null")), F.lit(","), F.col("t").cast("string"), F.lit("]"),
     )
-    ranked = F.array_sort(F.transform("_eligible", lambda f: F.struct(F.sha2(F.concat_ws(":", F.lit(seed), "uid", "event_id", f), 256).alias("h"), f.alias("f"))))
-    return rows.withColumn("eligible", F.size("_eligible")).withColumn("sampled", pyfuncs.seeded_sample("_eligible", F.lit(count), parts)).withColumn("sampled_sha", F.array_sort(F.transform(F.slice(ranked, 1, count), lambda x: x["f"]))).drop("_eligible")
+    ranked = F.array_sort(F.transform("_eligible", lambda f: F.struct(F.xxhash64(F.lit(seed), F.col("uid"), F.col("event_id"), f).alias("h"), f.alias("f"))))
+    return rows.withColumn("eligible", F.size("_eligible")).withColumn("sampled", pyfuncs.seeded_sample("_eligible", F.lit(count), parts)).withColumn("sampled_hash", F.array_sort(F.transform(F.slice(ranked, 1, count), lambda x: x["f"]))).drop("_eligible")
 
 
 def exploded_observations(sampled: DataFrame) -> DataFrame:

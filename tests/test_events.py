@@ -48,7 +48,7 @@ def test_sampling(spark):
     eligible = [f for f in range(31, 44) if f not in (30, 44, 45, 46)]
     seed = json.dumps([7, "u", 1, "b", 44, 1.5], separators=(",", ":"))
     want = sorted(random.Random(int(hashlib.sha256(seed.encode()).hexdigest()[:16], 16)).sample(eligible, 3))
-    assert out["b"].sampled == want and len(out["b"].sampled_sha) == 3
+    assert out["b"].sampled == want and len(out["b"].sampled_hash) == 3
 
 
 def test_seeded_sample():
