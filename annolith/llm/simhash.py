@@ -19,7 +19,6 @@ share a component; an empty table gives an empty result; other columns do not ma
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -173,130 +172,169 @@ def classes(df: DataFrame, *, shingle: int = 4, radius: int = 4, text: str = "te
     return docs.join(of, docs.bits == of.node).select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# Near copies by similarity: distinct words give the fingerprints, shingles the verdict.
+# Near copies by similarity: rare shingles give the candidates, all shingles the verdict.
 
-#: Independent fingerprints of a text's distinct words; a pair needs to be near in one of them.
-SEEDS = (1, 2, 3, 4)
-REMEMBERED = 50_000
+#: One text in so many gives the common shingles; at most so many of them are told to the workers.
+SAMPLED, COMMON = 16, 200_000
+#: Bits of a sketch, in which each shingle flips one.
+SKETCH = 2048
+#: Buckets up to this size are paired at once.
+SMALL = 8
 
 
-class _WordBits(dict):
-    """len(SEEDS) 64-bit hashes of a word, as bytes."""
+def shingle_set(words: list[bytes], shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles; the whole sequence if there are fewer words."""
+    return np.unique(rolled(word_hashes(words), min(shingle, len(words)))) if words else np.zeros(0, np.uint64)
 
-    def __missing__(self, word: bytes) -> bytes:
-        import xxhash
 
-        if len(self) > REMEMBERED:
-            self.clear()
-        got = self[word] = b"".join(xxhash.xxh64_digest(word, s) for s in SEEDS)
-        return got
+def common_shingles(df: DataFrame, *, shingle: int = 5, text: str = "text", key: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) and counts of shingles that stand in four texts or more of a sample; they only set an order."""
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set((x.as_py() or "").encode().lower().split(), shingle) for x in batch.column(0)]
+        seen, n = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
+    some = df.where(F.pmod(F.xxhash64(df[key]), F.lit(SAMPLED)) == 0).select(df[text])
+    counts = map_batches(some, "h bigint, n bigint", rows).groupBy("h").agg(F.sum("n").alias("n")).where("n >= 4")
+    got = counts.orderBy(F.desc("n"), "h").limit(COMMON).collect()
+    seen, n = np.array([r.h for r in got], np.int64).view(np.uint64), np.array([r.n for r in got], np.int64)
+    order = np.argsort(seen)
+    return seen[order], n[order]
 
-@lru_cache(maxsize=1)
-def _word_bits() -> _WordBits:
-    return _WordBits()
 
+def rare_first(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A set's hashes (sorted) in an order that is the same for all texts: common ones last, then by hash."""
+    seen, n = common
+    if not len(seen) or not len(shingles):
+        return shingles
+    at = np.minimum(np.searchsorted(seen, shingles), len(seen) - 1)
+    return shingles[np.argsort(np.where(seen[at] == shingles, n[at], 0), kind="stable")]
 
-def shingle_set(words: list[bytes], shingle: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles; the whole sequence if there are fewer words."""
-    return np.unique(rolled(word_hashes(words), min(shingle, len(words)))) if words else np.zeros(0, np.uint64)
+
+def prefix_length(n: int, similarity: float) -> int:
+    """Sets of at least the similarity share a member among so many first ones of each, in any common order."""
+    return n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
 
 
-def word_fingerprints(words: list[bytes]) -> np.ndarray:
-    """A fingerprint for each seed: bits that over half the distinct words have."""
-    table = _word_bits()
-    distinct = set(words)
-    bits = np.unpackbits(np.frombuffer(b"".join(map(table.__getitem__, distinct)), np.uint8).reshape(-1, 8 * len(SEEDS)), axis=1)
-    return np.packbits(bits.sum(axis=0, dtype=np.int32) * 2 > len(distinct)).view(">u8").astype(np.uint64)
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parity of the shingles in each of SKETCH places: two sketches differ in no more bits than the sets in members."""
+    return np.packbits((np.bincount((shingles >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1).astype(np.uint8)).tobytes()
 
 
-def signatures(df: DataFrame, *, shingle: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, digest (of the words in order), shingles (how many distinct) and bits (a fingerprint for each seed)."""
+def word_fingerprint(words: list[bytes]) -> int:
+    """64 bits, each the majority over the distinct words; like texts have like ones."""
+    bits = np.unpackbits(word_hashes(sorted(set(words))).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return int(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(bits)).view(">i8")[0])
+
+
+def signatures(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """doc_id, digest (of the words in order), shingles (how many distinct), bits, sketch and first, the rarest shingles."""
+    common = common_shingles(df, shingle=shingle, text=text, key=key)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         import xxhash
 
-        digests, counts, bits = [], [], []
+        digests, counts, bits, sketches, first = [], [], [], [], []
         for x in batch.column(1):
             words = (x.as_py() or "").encode().lower().split()
+            own = shingle_set(words, shingle)
             digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
-            counts.append(len(shingle_set(words, shingle)))
-            bits.append(word_fingerprints(words).view(np.int64) if words else np.zeros(len(SEEDS), np.int64))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "digest", "shingles", "bits"])
+            counts.append(len(own))
+            bits.append(word_fingerprint(words) if words else 0)
+            sketches.append(sketch(own))
+            first.append(rare_first(own, common)[: prefix_length(len(own), similarity)].view(np.int64))
+        columns = [pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(bits, pa.int64()), pa.array(sketches, pa.binary()), pa.array(first, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "digest", "shingles", "bits", "sketch", "first"])
 
     kind = df.schema[key].dataType.simpleString()
-    return map_batches(df.select(df[key].alias("doc_id"), df[text]), f"doc_id {kind}, digest binary, shingles int, bits array<bigint>", rows)
+    return map_batches(df.select(df[key].alias("doc_id"), df[text]), f"doc_id {kind}, digest binary, shingles int, bits bigint, sketch binary, first array<bigint>", rows)
 
 
-def _bucket_pairs(radius: int, similarity: float):
-    """Pairs of one bucket's rows (key, fp, doc, n) that are near and whose numbers of shingles allow the similarity."""
+MEMBERS = "key bigint, doc bigint, n int, place int, bits bigint"
 
-    def pairs(key: np.ndarray, fp: np.ndarray, doc: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
-        sizes = np.diff(np.concatenate([starts, [len(key)]]))
-        small = np.repeat(sizes <= 8, sizes)
-        found = []
-        for lag in range(1, 8):
-            if len(key) > lag:
-                at = np.flatnonzero((key[lag:] == key[:-lag]) & small[:-lag] & (np.bitwise_count(fp[lag:] ^ fp[:-lag]) <= radius))
-                found.append(np.stack([at, at + lag], axis=1))
-        for k in np.flatnonzero(sizes > 8):
-            a, z = starts[k], starts[k] + sizes[k]
-            bits = np.unpackbits(fp[a:z].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-            middle = np.packbits(bits * 2 > z - a).view(np.uint64)[0]
-            centre = a + int(np.argmin(np.bitwise_count(fp[a:z] ^ middle)))
-            found.append(np.stack([np.full(z - a, centre), np.arange(a, z)], axis=1))
-            for i in range(a, z):
-                far = np.bitwise_count(fp[a:z] ^ fp[i]).astype(np.int16)
-                far[i - a] = 999
-                near = int(np.argmin(far))
-                if far[near] <= radius:
-                    found.append(np.array([[i, near + a]]))
-        at = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        x, y = np.minimum(n[at[:, 0]], n[at[:, 1]]), np.maximum(n[at[:, 0]], n[at[:, 1]])
-        at = at[x >= similarity * y]
-        both = np.sort(np.stack([doc[at[:, 0]], doc[at[:, 1]]], axis=1), axis=1)
-        both = np.unique(both[both[:, 0] < both[:, 1]], axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+def _allowed(n: np.ndarray, place: np.ndarray, m, at, similarity: float) -> np.ndarray:
+    """Whether sets of n and m members, whose first common one stands at these places, can be similar enough."""
+    fits = np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
+    return fits & (1 + np.minimum(n - place, m - at) - 1 >= similarity / (1 + similarity) * (n + m) - 1e-9)
+
+
+def _by_bucket(work, schema: pa.Schema):
+    """Runs work on whole buckets of rows that are sorted by their first column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        held = None
         for batch in batches:
-            new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-            new[1] = new[1].view(np.uint64)
-            rows = [np.concatenate(x) for x in zip(held, new, strict=True)]
+            new = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
+            rows = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
             if not len(rows[0]):
                 continue
-            whole = np.searchsorted(rows[0], rows[0][-1])
+            whole = np.searchsorted(rows[0], rows[0][-1])  # the last bucket may go on in the next batch
             held = [x[whole:] for x in rows]
             if whole:
-                yield pairs(*[x[:whole] for x in rows])
-        if len(held[0]):
-            yield pairs(*held)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(work(*[x[:whole] for x in rows]), schema, strict=True)], schema=schema)
+        if held is not None and len(held[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(work(*held), schema, strict=True)], schema=schema)
 
     return run
 
 
-def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(a, b): documents whose sets of shingles have a Jaccard similarity of at least ``similarity``; key is a bigint.
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
 
-    Candidates share a bucket of a covering table for one of the seeds and are within the radius there; all of
-    them are verified on whole texts.  Texts of equal words are one node.  In buckets of over 8 texts a text
-    is held against the bucket's centre (the text nearest to the majority of its bits, as a rule the original of
-    many copies) and against its own nearest, so that no bucket gives more than two pairs for each row.
-    Precision is exact; the measured recall stands in the README.
-    """
-    docs = stored(signatures(df, shingle=shingle, text=text, key=key), "signatures")
-    copies = docs.groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("bits").alias("bits"))
-    nodes = stored(copies.where("least IS NOT NULL"), "texts")
-    equal = docs.where("doc_id IS NOT NULL").join(nodes.select("digest", "least"), "digest").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    masks = covering_masks(radius)
-    keys = F.array(*[F.struct(F.xxhash64(F.lit(s), F.lit(k), F.get("bits", F.lit(s)).bitwiseAND(F.lit(_signed(m)))).alias("key"), F.get("bits", F.lit(s)).alias("fp")) for s in range(len(SEEDS)) for k, m in enumerate(masks)])
-    dealt = nodes.where("shingles > 0").select(F.inline(keys), F.col("least").alias("doc"), F.col("shingles").cast("bigint").alias("n"))
-    found = dealt.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_bucket_pairs(radius, similarity), "a bigint, b bigint").distinct()
-    pairs = stored(found, "pairs")
+
+def _paired(doc: np.ndarray, at: np.ndarray, more: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (a, b) with a < b, and a row (doc, doc, true) for each doc with more to try."""
+    both = np.sort(np.stack([doc[at[:, 0]], doc[at[:, 1]]], axis=1), axis=1)
+    both = np.unique(both[both[:, 0] < both[:, 1]], axis=0)
+    rest = np.array(more, np.int64)
+    return np.concatenate([both[:, 0], rest]), np.concatenate([both[:, 1], rest]), np.arange(len(both) + len(rest)) >= len(both)
+
+
+def _first_pairs(similarity: float):
+    """All pairs of small buckets; in large ones each text with the centre, the text nearest to the majority of bits."""
+
+    def work(key, doc, n, place, bits, size):
+        found = [np.zeros((0, 2), np.int64)]
+        small = size <= SMALL
+        for lag in range(1, SMALL):
+            if len(key) > lag:
+                at = np.flatnonzero((key[lag:] == key[:-lag]) & small[:-lag])
+                found.append(np.stack([at, at + lag], axis=1))
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+        for a in starts[~small[starts]].tolist():
+            z = a + int(size[a])
+            own = bits[a:z].view(np.uint64)
+            count = np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            middle = np.packbits(count * 2 > z - a).view(np.uint64)[0]
+            centre = a + int(np.argmin(np.bitwise_count(own ^ middle)))
+            found.append(np.stack([np.full(z - a, centre), np.arange(a, z)], axis=1))
+        at = np.concatenate(found)
+        i, j = at[:, 0], at[:, 1]
+        return _paired(doc, at[_allowed(n[i], place[i], n[j], place[j], similarity)], [])
+
+    def sized(key, doc, n, place, bits):
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+        return work(key, doc, n, place, np.ascontiguousarray(bits), np.repeat(np.diff(cuts), np.diff(cuts)))
+
+    return _by_bucket(sized, PAIRS)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, df: DataFrame, shingle: int, similarity: float, text: str, key: str) -> DataFrame:
+    """The pairs whose sets have the similarity: sketches tell most of the others, whole texts the rest."""
+    own = docs.select("doc_id", "sketch", "shingles")
+
+    def close(batch: pa.RecordBatch) -> pa.RecordBatch:
+        p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for k in (2, 3))
+        apart = np.bitwise_count(p ^ q).sum(axis=1, dtype=np.int64)
+        most = (1 - similarity) / (1 + similarity) * batch.column(4).to_numpy(zero_copy_only=False)
+        return batch.select(["a", "b"]).filter(pa.array(apart <= most + 1e-9))
+
+    sides = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("sketch").alias("p"), F.col("shingles").alias("n")), "a")
+    sides = sides.join(own.select(F.col("doc_id").alias("b"), F.col("sketch").alias("q"), F.col("shingles").alias("m")), "b")
+    near = stored(map_batches(sides.select("a", "b", "p", "q", (F.col("n") + F.col("m")).cast("bigint").alias("of")), "a bigint, b bigint", close), "close")
     texts = df.select(df[key].alias("_key"), df[text].alias("_text"))
-    left = pairs.join(texts, pairs.a == texts["_key"]).select("a", "b", F.col("_text").alias("left"))
+    left = near.join(texts, near.a == texts["_key"]).select("a", "b", F.col("_text").alias("left"))
     both = left.join(texts, left.b == texts["_key"]).select("a", "b", "left", F.col("_text").alias("right"))
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -307,11 +345,28 @@ def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, r
             keep.append(common >= similarity * (len(p) + len(q) - common))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    near = map_batches(both, "a bigint, b bigint", verify)
-    return near.unionByName(equal).distinct()
+    return stored(map_batches(both, "a bigint, b bigint", verify).distinct(), "similar")
+
+
+def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(a, b): links between documents whose sets of shingles have a Jaccard similarity of at least ``similarity``.
+
+    key is a bigint.  Sets that similar share one of their first members in any order common to all texts, so
+    every such pair meets in a bucket.  Pairs are dropped by the sets' sizes, places and sketches only where
+    these rule the similarity out; all others are verified on whole texts.  Texts of equal words are one node.
+    In buckets of over SMALL texts each is held against the bucket's centre only.
+    """
+    docs = stored(signatures(df, shingle=shingle, similarity=similarity, text=text, key=key), "signatures")
+    nodes = docs.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    nodes = stored(nodes, "texts")
+    equal = docs.where("doc_id IS NOT NULL").join(nodes, "digest").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    chosen = stored(docs.join(nodes.select(F.col("least").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]), "chosen")
+    members = chosen.select(F.posexplode("first").alias("place", "key"), F.col("doc_id").alias("doc"), F.col("shingles").alias("n"), "bits").select("key", "doc", "n", "place", "bits")
+    found = members.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_first_pairs(similarity), "a bigint, b bigint, more boolean").select("a", "b").distinct()
+    return _verified(stored(found, "pairs"), chosen, df, shingle, similarity, text, key).unionByName(equal).distinct()
 
 
-def keep_one(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
+def keep_one(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
     """df without the rows that have a smaller doc_id in their group; all columns stay, and rows without a key.
 
     A group is joined by links of both kinds: fingerprints of 4-word shingles at most 4 bits apart, and sets
@@ -323,6 +378,6 @@ def keep_one(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, radius
     found = stored(links(nodes, 4), "bit-links")
     named = found.join(nodes.select(F.col("bits").alias("a"), F.col("least").alias("x")), "a").join(nodes.select(F.col("bits").alias("b"), F.col("least").alias("y")), "b")
     alike = equal.unionByName(named.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    label = components(alike.unionByName(similar_links(df, shingle=shingle, similarity=similarity, radius=radius, text=text, key=key)))
+    label = components(alike.unionByName(similar_links(df, shingle=shingle, similarity=similarity, text=text, key=key)))
     gone = label.where("node <> label").select(F.col("node").alias("_gone"))
     return df.join(gone, df[key] == gone["_gone"], "left_anti")

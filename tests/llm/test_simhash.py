@@ -112,3 +112,27 @@ def test_large_groups_of_near_copies(spark):
     rows = [(0, " ".join(words))] + [(k, " ".join(w if j != k * 2 else "edit" + str(k) for j, w in enumerate(words))) for k in range(1, 120)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert [r.doc_id for r in simhash.keep_one(df).collect()] == [0]
+
+
+def test_similar_pairs_by_edit_and_length(spark):
+    """Appended ends, rare new words and scattered edits with a similarity of 0.8 or little more, for short and long texts."""
+    rng = np.random.default_rng(5)
+    rows, kinds = [], {}
+    for size in (30, 60, 150, 400, 1000, 3000):
+        for kind in ("end", "rare", "front", "scattered"):
+            for _ in range(4):
+                at = 2 * len(kinds)
+                words = [f"w{x}" for x in rng.integers(0, 5000, size)]
+                new = [f"n{at}-{k}" for k in range(int(size * 0.17))]
+                if kind == "scattered":
+                    other = list(words)
+                    for k in rng.choice(size, max(1, size // 55), replace=False):
+                        other[k] = f"n{at}-{k}"
+                else:
+                    other = {"end": words + [f"w{x}" for x in rng.integers(0, 5000, len(new))], "rare": words + new, "front": new + words}[kind]
+                rows += [(at, " ".join(words)), (at + 1, " ".join(other))]
+                kinds[at] = (kind, size)
+    want, _ = plain_links(rows)
+    assert {kinds[a] for a, b in want if b == a + 1} >= set(kinds.values()) - {("scattered", 30)}  # one edit of 30 words is too much
+    got = {(r.a, r.b) for r in simhash.similar_links(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want
