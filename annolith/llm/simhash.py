@@ -251,9 +251,6 @@ def signatures(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, text
     return map_batches(df.select(df[key].alias("doc_id"), df[text]), f"doc_id {kind}, digest binary, shingles int, bits bigint, sketch binary, first array<bigint>", rows)
 
 
-MEMBERS = "key bigint, doc bigint, n int, place int, bits bigint"
-
-
 def _allowed(n: np.ndarray, place: np.ndarray, m, at, similarity: float) -> np.ndarray:
     """Whether sets of n and m members, whose first common one stands at these places, can be similar enough."""
     fits = np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
@@ -263,6 +260,10 @@ def _allowed(n: np.ndarray, place: np.ndarray, m, at, similarity: float) -> np.n
 def _by_bucket(work, schema: pa.Schema):
     """Runs work on whole buckets of rows that are sorted by their first column."""
 
+    def arrow(columns) -> pa.RecordBatch:
+        made = [pa.array(np.ma.getdata(x), f.type, mask=np.ma.getmaskarray(x) if np.ma.isMaskedArray(x) else None) for x, f in zip(columns, schema, strict=True)]
+        return pa.RecordBatch.from_arrays(made, schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
@@ -273,28 +274,37 @@ def _by_bucket(work, schema: pa.Schema):
             whole = np.searchsorted(rows[0], rows[0][-1])  # the last bucket may go on in the next batch
             held = [x[whole:] for x in rows]
             if whole:
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(work(*[x[:whole] for x in rows]), schema, strict=True)], schema=schema)
+                yield arrow(work(*[x[:whole] for x in rows]))
         if held is not None and len(held[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(work(*held), schema, strict=True)], schema=schema)
+            yield arrow(work(*held))
 
     return run
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+#: A pair (a, b), or with a key the member a of a large bucket.
+FIRST = "a bigint, b bigint, key bigint, n int, place int, bits bigint"
+FIRST_ROWS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("bits", pa.int64())])
 
 
-def _paired(doc: np.ndarray, at: np.ndarray, more: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (a, b) with a < b, and a row (doc, doc, true) for each doc with more to try."""
+def _distinct_pairs(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
     both = np.sort(np.stack([doc[at[:, 0]], doc[at[:, 1]]], axis=1), axis=1)
-    both = np.unique(both[both[:, 0] < both[:, 1]], axis=0)
-    rest = np.array(more, np.int64)
-    return np.concatenate([both[:, 0], rest]), np.concatenate([both[:, 1], rest]), np.arange(len(both) + len(rest)) >= len(both)
+    return np.unique(both[both[:, 0] < both[:, 1]], axis=0)
+
+
+def _sizes(key: np.ndarray) -> np.ndarray:
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+    return np.repeat(np.diff(cuts), np.diff(cuts))
 
 
 def _first_pairs(similarity: float):
-    """All pairs of small buckets; in large ones each text with the centre, the text nearest to the majority of bits."""
+    """All pairs of small buckets; in large ones each text with the centre, the text nearest to the majority of bits.
 
-    def work(key, doc, n, place, bits, size):
+    The members of large buckets are given again, for further rounds.
+    """
+
+    def work(key, doc, n, place, bits):
+        size, bits = _sizes(key), np.ascontiguousarray(bits)
         found = [np.zeros((0, 2), np.int64)]
         small = size <= SMALL
         for lag in range(1, SMALL):
@@ -311,13 +321,39 @@ def _first_pairs(similarity: float):
             found.append(np.stack([np.full(z - a, centre), np.arange(a, z)], axis=1))
         at = np.concatenate(found)
         i, j = at[:, 0], at[:, 1]
-        return _paired(doc, at[_allowed(n[i], place[i], n[j], place[j], similarity)], [])
+        pairs = _distinct_pairs(doc, at[_allowed(n[i], place[i], n[j], place[j], similarity)])
+        big = np.flatnonzero(~small)
+        none, zero = np.ones(len(pairs), bool), np.zeros(len(pairs), np.int64)
+        columns = [np.concatenate([pairs[:, 0], doc[big]]), np.concatenate([pairs[:, 1], doc[big]])]
+        gone = np.concatenate([none, np.zeros(len(big), bool)])
+        return columns + [np.ma.array(np.concatenate([zero, x[big]]), mask=gone) for x in (key, n, place, bits)]
+
+    return _by_bucket(work, FIRST_ROWS)
+
 
-    def sized(key, doc, n, place, bits):
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
-        return work(key, doc, n, place, np.ascontiguousarray(bits), np.repeat(np.diff(cuts), np.diff(cuts)))
+def _more_pairs(similarity: float, width: int):
+    """For each text outside its bucket's largest component, the ``width`` likest members of other ones.
+
+    A row (doc, doc, true) says that a text has further members to try.
+    """
 
-    return _by_bucket(sized, PAIRS)
+    def work(key, doc, n, place, bits, label):
+        size, bits = _sizes(key), np.ascontiguousarray(bits).view(np.uint64)
+        found, rest = [np.zeros((0, 2), np.int64)], []
+        for a in np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1]).tolist():
+            own = slice(a, a + int(size[a]))
+            labels, of, many = np.unique(label[own], return_inverse=True, return_counts=True)
+            for i in (a + np.flatnonzero(of != np.argmax(many))).tolist():
+                other = a + np.flatnonzero((label[own] != label[i]) & _allowed(n[own], place[own], n[i], place[i], similarity))
+                if len(other) > width:
+                    rest.append(doc[i])
+                    other = other[np.argsort(np.bitwise_count(bits[other] ^ bits[i]), kind="stable")[:width]]
+                found.append(np.stack([np.full(len(other), i), other], axis=1))
+        both = _distinct_pairs(doc, np.concatenate(found))
+        rest = np.unique(np.array(rest, np.int64))
+        return np.concatenate([both[:, 0], rest]), np.concatenate([both[:, 1], rest]), np.arange(len(both) + len(rest)) >= len(both)
+
+    return _by_bucket(work, PAIRS)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, df: DataFrame, shingle: int, similarity: float, text: str, key: str) -> DataFrame:
@@ -354,7 +390,9 @@ def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, t
     key is a bigint.  Sets that similar share one of their first members in any order common to all texts, so
     every such pair meets in a bucket.  Pairs are dropped by the sets' sizes, places and sketches only where
     these rule the similarity out; all others are verified on whole texts.  Texts of equal words are one node.
-    In buckets of over SMALL texts each is held against the bucket's centre only.
+    In buckets of over SMALL texts each is first held against the bucket's centre.  What is not yet joined goes on
+    to further rounds: texts outside their bucket's largest component are held against ever more members of
+    other components, the likest first, until no pair of different components is untried.
     """
     docs = stored(signatures(df, shingle=shingle, similarity=similarity, text=text, key=key), "signatures")
     nodes = docs.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
@@ -362,8 +400,25 @@ def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, t
     equal = docs.where("doc_id IS NOT NULL").join(nodes, "digest").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
     chosen = stored(docs.join(nodes.select(F.col("least").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]), "chosen")
     members = chosen.select(F.posexplode("first").alias("place", "key"), F.col("doc_id").alias("doc"), F.col("shingles").alias("n"), "bits").select("key", "doc", "n", "place", "bits")
-    found = members.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_first_pairs(similarity), "a bigint, b bigint, more boolean").select("a", "b").distinct()
-    return _verified(stored(found, "pairs"), chosen, df, shingle, similarity, text, key).unionByName(equal).distinct()
+    dealt = stored(members.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_first_pairs(similarity), FIRST), "first-pairs")
+    tried = stored(dealt.where("key IS NULL").select("a", "b").distinct(), "pairs")
+    large = dealt.where("key IS NOT NULL").select("key", F.col("a").alias("doc"), "n", "place", "bits")
+    near = _verified(tried, chosen, df, shingle, similarity, text, key)
+    width = SMALL
+    while True:
+        label = components(near)
+        own = large.join(label, large.doc == label.node, "left").select("key", "doc", "n", "place", "bits", F.coalesce("label", "doc").alias("label"))
+        open_ = own.groupBy("key").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p <> q").select("key")
+        live = own.join(open_, "key").repartition("key").sortWithinPartitions("key", "doc")
+        found = stored(live.mapInArrow(_more_pairs(similarity, width), "a bigint, b bigint, more boolean").distinct(), "pairs")
+        new = stored(found.where("NOT more").select("a", "b").join(tried, ["a", "b"], "left_anti"), "untried")
+        more, untried = not found.where("more").isEmpty(), not new.isEmpty()
+        if untried:
+            near = stored(near.unionByName(_verified(new, chosen, df, shingle, similarity, text, key)), "similar")
+            tried = stored(tried.unionByName(new), "tried")
+        if not more:
+            return near.unionByName(equal).distinct()
+        width *= SMALL
 
 
 def keep_one(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -136,3 +136,26 @@ def test_similar_pairs_by_edit_and_length(spark):
     assert {kinds[a] for a, b in want if b == a + 1} >= set(kinds.values()) - {("scattered", 30)}  # one edit of 30 words is too much
     got = {(r.a, r.b) for r in simhash.similar_links(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == want
+
+
+def test_buckets_that_mix_groups(spark):
+    """Chains of copies and unlike texts that share a long common passage: every similar pair ends in one component."""
+    rng = np.random.default_rng(8)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for group in range(6):
+        words = passage + [f"g{group}-{k}" for k in range(30)]
+        for k in range(14):  # each copy has an edit more than the one before, so the ends are far apart
+            words = list(words)
+            words[62 + 2 * k] = f"e{group}-{k}"
+            rows.append((len(rows), " ".join(words)))
+    rows = [(i, rows[k][1]) for i, k in enumerate(rng.permutation(len(rows)))]
+    want, _ = plain_links(rows)
+    root = {i: i for i, _ in rows}
+    for _ in rows:
+        for a, b in want:
+            root[a] = root[b] = min(root[a], root[b])
+    got = simhash.similar_links(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.a, r.b) for r in got.collect()} <= want
+    label = {r.node: r.label for r in simhash.components(got).collect()}
+    assert {i: label.get(i, i) for i in root} == root
