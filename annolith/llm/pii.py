@@ -42,6 +42,8 @@ SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four":
 #: A run of at least seven spelled digits, plain digits and a leading "plus" may stand among them.
 DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
 RUN = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\x20-]+)?(?:[0-9]+[\x20-]+)*{DIGIT_WORD}(?:[\x20,.-]+(?:{DIGIT_WORD}|dot|point|[0-9]+)){{3,}}(?![A-Za-z0-9])", re.I)
+#: What a run has at least: a spelled digit and a further digit, spelled or plain, "dot" or "point".
+SPELLED_OUT = re.compile(rf"{DIGIT_WORD}[\x20,.-]+(?:{DIGIT_WORD}|dot|point|[0-9])", re.I)
 RUN_WORD = re.compile(rf"plus[\x20-]*|{DIGIT_WORD}|dot|point|[0-9]+|[\x20,.-]+", re.I)
 #: "name [at] host [dot] org", and "name at host dot org" with single spaces.
 DISGUISED = re.compile(
@@ -113,9 +115,9 @@ class Rewriting:
 
 def rewritten(text: str) -> Rewriting | None:
     """The text without disguises, or None if it wears none."""
-    low = text.lower()
     plain = text if text.isascii() else text.translate(LOOK_ALIKES)
-    spelled = sum(low.count(w) for w in SPELLED) >= 4
+    spelled = SPELLED_OUT.search(plain) is not None
+    low = plain.lower()
     hinted = ("dot" in low or "@" in plain or "at" in low) and HINT.search(plain)
     if plain == text and not spelled and not hinted:
         return None

@@ -55,3 +55,10 @@ def test_redaction(spark, odd):
 def test_foreign_scripts_stay_fast():
     text = "Привет мир " * 50_000
     assert texts_of(text)[0] == []
+
+
+@pytest.mark.parametrize("text,kind", [("call plus 49 five five 1 2 3 4 5 6 7 8 today", "phone"), ("card four 111 1111 1111 1111 1 1", None), ("at one.2.3.4 now", "ip"), ("call plus \uff4fne five five five 2 3 4 5 6 7 8", "phone")])
+def test_few_spelled_digits(text, kind):
+    """What stands before and after a run does not decide whether it is seen."""
+    alone, among = texts_of(text)[1], texts_of(text + ", or phone someone else, one or two of seven")[1]
+    assert alone == among and [k for k, _ in alone] == [kind] * (kind is not None)
