@@ -45,7 +45,7 @@ class ChunkCache(dict):
     """Ids (little-endian uint32) of chunks between ASCII white space, with A-Z in lower case.
 
     The tokenizer drops white space, and neither its normaliser nor its merges reach across it, so a
-    document's ids are its chunks' ids in a row.  A plain chunk goes straight to the tokenizer's merges;
+    document's ids are its chunks' ids in a row, between the special strings it may hold.  A plain chunk goes straight to the tokenizer's merges;
     any other goes through all of it.
     """
 
@@ -54,7 +54,10 @@ class ChunkCache(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        special = {t.content: struct.pack("<I", k) for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special, self.cuts = special, re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.lowered = Tokenizer.from_file(tokenizer_file)
+        self.lowered.encode_special_tokens = True  # what only looks special in lower case is none
         self.model, self.letters, self.before = self.tokenizer.model, _byte_letters(), {}
 
     def __missing__(self, chunk: bytes) -> bytes:
@@ -63,7 +66,7 @@ class ChunkCache(dict):
             text = chunk.decode()
             m = PLAIN.fullmatch(text)
             if m is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                ids = self.lowered.encode(text, add_special_tokens=False).ids
             else:
                 word, marks = m.groups()
                 word = word if word.isascii() else "".join(map(self.letters.__getitem__, word.lower().encode()))
@@ -76,7 +79,10 @@ class ChunkCache(dict):
         return got
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().lower().split()))
+        """The text's ids; its special strings, which count in their own case only, give their own."""
+        if self.cuts is None or not self.cuts.search(text):
+            return b"".join(map(self.__getitem__, text.encode().lower().split()))
+        return b"".join(self.special[x] if k % 2 else b"".join(map(self.__getitem__, x.encode().lower().split())) for k, x in enumerate(self.cuts.split(text)))
 
 
 @lru_cache(maxsize=2)

@@ -79,3 +79,11 @@ def test_chunks_equal_the_whole_tokenizer():
     cache = packing.ChunkCache(FILE)
     for text in ODD_TEXTS:
         assert np.frombuffer(cache.ids(text), "<u4").tolist() == cache.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_special_strings():
+    """Held against the tokenizer as it is in its file."""
+    whole, cache = Tokenizer.from_file(FILE), packing.ChunkCache(FILE)
+    a, b = "<|startoftext|>", "<|endoftext|>"
+    for text in (f"{b} a{a}b", a, b + b, f"x{a[:-1]} {b}", b.upper() + " y", f"It's{b}'s end", f"\u0130{a} \u00c9t\u00e9{b}\n", f"{b}>{a}<|", ""):
+        assert np.frombuffer(cache.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
