@@ -1,6 +1,10 @@
+import os
 import re
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from annolith.llm import quality
 
 
@@ -56,3 +60,18 @@ def test_clean_documents_stay(spark):
 def test_native(corpus):
     plan = quality.judge(corpus)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+DATA = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the tables of sf0.1")
+def test_toxic_recall_by_language(spark):
+    """On the odd doc_ids, from which no word was taken."""
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").where("doc_id % 2 = 1 AND quality = 1")
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").join(labels, "doc_id")
+    found = quality.measure(docs).select("doc_id", F.expr(dict(quality.RULES)["toxic"]).cast("int").alias("found"))
+    rows = docs.select("doc_id", "lang", "toxic").join(found, "doc_id").groupBy("lang", "toxic").agg(F.avg("found").alias("share")).collect()
+    share = {(r.lang, r.toxic): r.share for r in rows}
+    assert {x for x, _ in share} == {"de", "en", "es", "fr"}
+    assert all(v >= 0.9 if toxic else v <= 0.01 for (_, toxic), v in share.items()), share
