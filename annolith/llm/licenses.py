@@ -1,8 +1,7 @@
 """License scans by ordered signature rules, as column expressions.
 
 Every rule is a regular expression with a label and a priority (1 is the strongest).  Rules stand in
-families; a family's rules only run on texts that contain its keyword, and none on texts without any word
-that a license needs.  Where detections overlap, one that lies inside another of the same or a stronger
+families; a rule only runs on texts that hold strings which each of its matches needs.  Where detections overlap, one that lies inside another of the same or a stronger
 priority is suppressed.
 
 Beside the rules stand the base phrases, whole words that follow each other, counted over all places.
@@ -14,6 +13,7 @@ between equal intervals go to the stronger priority, then to the first label.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +27,6 @@ MARK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 #: Base phrases and labels, in any case.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Texts without any of these are not searched.
-GATES = ("licen", "copyright", "spdx", "permission", "redistribut", "warrant", "creative commons", "public domain", "cc by", "cc-by", "cc0", "rights reserved", "gpl", "copyleft")
-
 #: label | keyword | names, best first | SPDX identifiers.  Blanks stand for any white space or marks.
 FAMILIES = """
 mit|mit|the mit license;mit license;mit x11 license;expat license|mit;mit-0
@@ -136,21 +133,29 @@ copyleft|copyleft|5|copyleft
 
 def _pattern(words: str) -> str:
     """Blanks match any white space and marks; the whole stands between word ends."""
-    return r"(?<![a-z0-9]|[^\x00-\x7F])" + words.strip().replace(" ?", MARK + "?").replace(" ", MARK + "{1,8}") + r"(?![a-z0-9]|[^\x00-\x7F])"
+    return r"(?<![a-z0-9]|[^\x00-\x7F])" + words.strip().replace(" ?", MARK + "*").replace(" ", MARK + "+") + r"(?![a-z0-9]|[^\x00-\x7F])"
+
 
+def _needed(words: str) -> tuple[str, ...]:
+    """Up to three strings that every match holds, the longest first: what stands outside brackets, up to a choice."""
+    while (bare := re.sub(r"\(\?:[^()]*\)[?*+]?", "", words)) != words:
+        words = bare
+    found = {m[0] for x in re.split(r" \??", words.replace(",?", "")) if (m := re.match(r"[a-z0-9]+(?![?*a-z0-9])", x))}
+    return tuple(sorted(found, key=lambda x: (x in ("license", "software", "public"), -len(x), x))[:3])
 
-def rules() -> dict[str, list[tuple[str, int, str]]]:
-    """(label, priority, pattern) of every rule, by the keyword of its family."""
-    found: dict[str, list[tuple[str, int, str]]] = {}
+
+def rules() -> dict[tuple[str, ...], list[tuple[str, int, str]]]:
+    """(label, priority, pattern) of every rule, by the strings that a text must hold for it."""
+    found: dict[tuple[str, ...], list[tuple[str, int, str]]] = {}
     for line in FAMILIES:
-        label, keyword, names, ids = line.split("|") if line.count("|") == 3 else _split(line)
+        label, _, names, ids = line.split("|") if line.count("|") == 3 else _split(line)
         for before, after, priority in FRAMES:
             for name in (ids if priority == 1 else names).split(";"):
                 name = name.replace("-", " ") if priority == 1 else name
-                found.setdefault(keyword, []).append((label, priority, _pattern(before + name + after)))
+                found.setdefault(("spdx",) if priority == 1 else _needed(name), []).append((label, priority, _pattern(before + name + after)))
     for line in SENTENCES:
-        label, keyword, priority, pattern = _split(line)
-        found.setdefault(keyword, []).append((label, int(priority), _pattern(pattern)))
+        label, _, priority, pattern = _split(line)
+        found.setdefault(_needed(pattern), []).append((label, int(priority), _pattern(pattern)))
     return found
 
 
@@ -167,7 +172,7 @@ def _split(line: str) -> list[str]:
 
 def _rule_table() -> Column:
     rows = [{"k": k, "r": [{"l": label, "p": priority, "x": x} for label, priority, x in some]} for k, some in rules().items()]
-    return F.from_json(F.lit(json.dumps(rows)), "array<struct<k:string,r:array<struct<l:string,p:int,x:string>>>>")
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<k:array<string>,r:array<struct<l:string,p:int,x:string>>>>")
 
 
 def _places(text: Column, label: Column, priority: Column, pattern: Column) -> Column:
@@ -215,14 +220,9 @@ def _unsuppressed(found: Column) -> Column:
 
 def detections(text: Column) -> Column:
     """The detections of a text that no other suppresses: array of (s, minus_e, p, l)."""
-    kind = "array<struct<s:int,minus_e:int,p:int,l:string>>"
     low = F.lower(text)
-    gate = None
-    for word in GATES:
-        gate = F.contains(low, F.lit(word)) if gate is None else gate | F.contains(low, F.lit(word))
-    live = F.flatten(F.transform(F.filter(_rule_table(), lambda f: F.contains(low, f["k"])), lambda f: f["r"]))
-    found = F.flatten(F.transform(live, lambda r: _places(low, r["l"], r["p"], r["x"])))
-    return F.when(gate, _unsuppressed(found)).otherwise(F.array().cast(kind))
+    live = F.flatten(F.transform(F.filter(_rule_table(), lambda f: F.forall(f["k"], lambda w: F.contains(low, w))), lambda f: f["r"]))
+    return _unsuppressed(F.flatten(F.transform(live, lambda r: _places(low, r["l"], r["p"], r["x"]))))
 
 
 def base_pattern(phrases=PHRASES) -> str:

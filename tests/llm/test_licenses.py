@@ -35,3 +35,11 @@ def test_rules_and_suppression(spark):
 
 def test_empty_table(none):
     assert licenses.scan(none).count() == 0
+
+
+def test_no_rule_is_kept_from_its_matches(spark):
+    texts = {"Released under the WTFPL": "wtfpl", "Distributed under BSD 3 Clause terms": "bsd", "available under Apache 2.0": "apache", "https://mozilla.org/MPL/2.0/": "mpl", "may be used to endorse or promote products derived from this software": "bsd", "altered source versions must be plainly marked as such": "zlib", "Creative\nCommons Attribution": "cc-by", "the Common\n#          Public License": "cpl", "Open\nFont License": "sil-ofl", "the Expat license": "mit", "SPDX-License-Identifier: MPL-2.0": "mpl", "Creative Commons Zero": "cc0"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan(df).select("doc_id", "labels").collect()}
+    assert [x for x, (k, label) in zip(texts, enumerate(texts.values()), strict=True) if label not in got[k]] == []
+    assert all(licenses.rules())
