@@ -134,21 +134,27 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
     return dealt.mapInArrow(_bucket_links(radius), "a bigint, b bigint").distinct()
 
 
-def components(edges: DataFrame, *, rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node and label (the smallest node that it reaches) of every node that has a link (a, b).
 
-    Each round hooks every node of the graph to its smallest neighbour, follows that hook once more, and
+    Each round hooks every node of the graph to its smallest neighbour, follows hooks to their roots, and
     contracts the links to what their ends are hooked to; it stops when no link is left.  Links of a dense
     group meet after one contraction, so later rounds hold few.  Smallest neighbours are combined before
     the shuffle, and both sides of the joins are stored tables, so that a node with very many links is split.
     """
     open_ = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "links")
     label = None
-    for _ in range(rounds):
+    while True:
         ends = open_.select(F.col("a").alias("x"), F.col("a").alias("y")).unionByName(open_.select(F.col("b").alias("x"), F.col("a").alias("y")))
         hook = stored(ends.groupBy("x").agg(F.min("y").alias("y")), "hooks")
         further = hook.select(F.col("x").alias("y"), F.col("y").alias("z"))
         to = stored(hook.join(further, "y").select("x", F.col("z").alias("to")), "targets")
+        while True:  # each time twice as far
+            root = to.select(F.col("x").alias("to"), F.col("to").alias("z"))
+            further = stored(to.join(root, "to").select("x", F.col("z").alias("to"), (F.col("z") != F.col("to")).alias("moved")), "targets")
+            to = further.select("x", "to")
+            if further.where("moved").isEmpty():
+                break
         if label is None:
             label = to.select(F.col("x").alias("node"), F.col("to").alias("label"))
         else:

@@ -159,3 +159,8 @@ def test_buckets_that_mix_groups(spark):
     assert {(r.a, r.b) for r in got.collect()} <= want
     label = {r.node: r.label for r in simhash.components(got).collect()}
     assert {i: label.get(i, i) for i in root} == root
+
+
+def test_long_chain_is_one_component(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(400)], "a bigint, b bigint")
+    assert {(r.node, r.label) for r in simhash.components(edges).collect()} == {(k, 0) for k in range(401)}
