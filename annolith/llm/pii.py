@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from .common import map_batches
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+#: A number is entered at its first digit only: from a later one the same parts follow, so it would fail alike.
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
@@ -39,9 +41,11 @@ LOOK_ALIKES = {ord(p[0]): p[1] for p in PAIRS.split()}
 LOOK_ALIKES |= {zero + k: str(k) for zero in (0xFF10, 0x660, 0x6F0, 0x966) for k in range(10)}
 LOOK_ALIKES |= {0xFEE0 + k: chr(k) for k in range(ord("A"), ord("z") + 1) if chr(k).isalpha()}
 SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-#: A run of at least seven spelled digits, plain digits and a leading "plus" may stand among them.
+#: A run from its first spelled digit on: at least four tokens, spelled or plain digits, "dot" or "point".
 DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
-RUN = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\x20-]+)?(?:[0-9]+[\x20-]+)*{DIGIT_WORD}(?:[\x20,.-]+(?:{DIGIT_WORD}|dot|point|[0-9]+)){{3,}}(?![A-Za-z0-9])", re.I)
+RUN = re.compile(rf"(?<![A-Za-z0-9]){DIGIT_WORD}(?:[\x20,.-]+(?:{DIGIT_WORD}|dot|point|[0-9]+)){{3,}}(?![A-Za-z0-9])", re.I)
+#: What may stand before the first spelled digit, written backwards: plain digits, then a "plus".
+LEAD = re.compile(r"(?:[\x20-]++[0-9]++(?![A-Za-z]))*+(?:[\x20-]++sulp(?![A-Za-z0-9]))?", re.I)
 #: What a run has at least: a spelled digit and a further digit, spelled or plain, "dot" or "point".
 SPELLED_OUT = re.compile(rf"{DIGIT_WORD}[\x20,.-]+(?:{DIGIT_WORD}|dot|point|[0-9])", re.I)
 RUN_WORD = re.compile(rf"plus[\x20-]*|{DIGIT_WORD}|dot|point|[0-9]+|[\x20,.-]+", re.I)
@@ -62,14 +66,32 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping addresses.  Each ends at an @ of its own, from which the name is read backwards."""
+    found, past, at = [], 0, text.find("@")
+    while at >= 0:
+        start = past + len(text[past:at].rstrip(LOCAL))
+        host = HOST.match(text, at + 1) if start < at else None
+        if host:
+            found.append((start, host.end()))
+        past = host.end() if host else at + 1
+        at = text.find("@", past)
+    return found
+
+
+def _octet(digits: str) -> bool:
+    value = digits.lstrip("0")
+    return len(value) < 4 and int(value or "0") <= 255
+
+
 def plain_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind's place in KINDS, end), leftmost non-overlapping within a kind; failing matches go without a retry."""
     found = []
     if "@" in text:
-        found += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        found += [(start, 0, end) for start, end in emails(text)]
     if DIGITS.search(text) is None:
         return found
-    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(map(_octet, m[0].split(".")))]
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 12 <= len(digits) <= 19 and luhn(digits):
@@ -125,15 +147,17 @@ def rewritten(text: str) -> Rewriting | None:
     if plain != text:
         own.swap(plain)
     if spelled:
-        changes = []
+        changes, backwards, past = [], own.text[::-1], 0
+        n = len(backwards)
         for m in RUN.finditer(own.text):
-            kept = []
-            for w in RUN_WORD.findall(m[0]):
+            start = n - LEAD.match(backwards, n - m.start(), n - past).end()
+            past, kept = m.end(), []
+            for w in RUN_WORD.findall(own.text[start : m.end()]):
                 word = w.strip(" -,").lower()
                 kept.append("+" if word == "plus" else "." if word in ("dot", "point", ".") else SPELLED.get(word, word if word.isdigit() else ""))
             new = "".join(kept)
             if sum(c.isdigit() for c in new) >= 4:
-                changes.append((m.start(), m.end(), new))
+                changes.append((start, m.end(), new))
         own.replace(changes) if changes else None
     if hinted:
         changes = []
