@@ -209,7 +209,8 @@ def pack(pieces: DataFrame, *, capacity: int = 2048, items: int = 40_000, rounds
         parts = max(1, -(-n // items))
         last = turn == rounds - 1
 
-        dealt = waiting.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(parts)))
+        # the row number spreads equal rows; waiting is a stored table, so a task that runs again numbers them alike
+        dealt = waiting.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id(), F.lit(turn)), F.lit(parts)))
         done = stored(dealt.groupBy("part").applyInArrow(_packer(turn, capacity, last, parts == 1), PLACED.format(kind=kind)), f"packed-{turn}")
         by_part = done.groupBy("part").agg(
             F.first("bins").alias("bins"), F.first("bound").alias("bound"), F.count_distinct(F.when(F.col("gap"), F.col("sequence_id"))).alias("released"), F.count_if("gap").alias("again")

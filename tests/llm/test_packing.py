@@ -87,3 +87,10 @@ def test_special_strings():
     a, b = "<|startoftext|>", "<|endoftext|>"
     for text in (f"{b} a{a}b", a, b + b, f"x{a[:-1]} {b}", b.upper() + " y", f"It's{b}'s end", f"\u0130{a} \u00c9t\u00e9{b}\n", f"{b}>{a}<|", ""):
         assert np.frombuffer(cache.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_equal_rows_are_dealt_apart(spark):
+    pieces = spark.range(3000, numPartitions=6).selectExpr("7L AS doc_id", "0 AS piece", "0L AS start", "30L AS length", "5L AS ids_crc32")
+    out, proof = packing.pack(pieces, capacity=2048, items=100)
+    first = proof.where("round = 0").collect()
+    assert len(first) == 30 and check(out.collect(), 2048) <= 2 * len(first)
