@@ -1,228 +1,171 @@
 """License scans by ordered signature rules, as column expressions.
 
-Every rule is a regular expression with a label and a priority (1 is the strongest).  Rules stand in
-families; a rule only runs on texts that hold strings which each of its matches needs.  Where detections overlap, one that lies inside another of the same or a stronger
-priority is suppressed.
+Every rule is a regular expression with a label and a priority (1 is the strongest); ``license_rules`` lists them.  A text is
+looked at in three steps: does it hold one of the gate words (a set so chosen that every rule's match holds one), then which
+rules' own words does it hold, and only then are those rules' expressions run.  Where detections overlap, one that lies
+inside another of the same or a stronger priority is suppressed.
 
 Beside the rules stand the base phrases, whole words that follow each other, counted over all places.
 
-Null text counts as empty: no words, no places, score 0.  Repeated rows give repeated results; ties
-between equal intervals go to the stronger priority, then to the first label.
+Null text counts as empty: no words, no places, score 0.  Repeated rows give repeated results; ties between equal intervals
+go to the stronger priority, then to the first label.  Arrays are built in blocks, so that a text of very many matches
+takes time in proportion to them.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import lower_ascii
+from .license_rules import listed
+
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: White space or a mark, once the text is in lower case.
 MARK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+BEFORE, AFTER = r"(?<![a-z0-9]|[^\x00-\x7F])", r"(?![a-z0-9]|[^\x00-\x7F])"
 
 #: Base phrases and labels, in any case.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: label | keyword | names, best first | SPDX identifiers.  Blanks stand for any white space or marks.
-FAMILIES = """
-mit|mit|the mit license;mit license;mit x11 license;expat license|mit;mit-0
-apache|apache|apache license,? version \\d(?:\\.\\d)?;apache license;apache software license;apache \\d\\.\\d|apache-1\\.[01];apache-2\\.0
-agpl|affero|gnu affero general public license;affero general public license|agpl-[13]\\.0(?:-only|-or-later)?
-lgpl|lesser|gnu lesser general public license;lesser general public license;gnu library general public license|lgpl-[23]\\.[01](?:-only|-or-later)?
-gpl|general public|gnu general public license,? version \\d(?:\\.\\d)?;gnu general public license;general public license|gpl-[123]\\.0(?:-only|-or-later|\\+)?
-gpl|gpl|gnu gpl;gplv[123];gpl version [123];gpl license|gpl-[123]
-fdl|free documentation|gnu free documentation license;free documentation license|gfdl-1\\.[123](?:-only|-or-later)?
-bsd|bsd|(?:new |simplified |modified |2 clause |3 clause |4 clause |two clause |three clause )?bsd license;bsd (?:2|3|4) clause;bsd style license|bsd-[1234]-clause;0bsd
-isc|isc|isc license;internet systems consortium license|isc
-mpl|mozilla|mozilla public license,? version \\d\\.\\d;mozilla public license|mpl-[12]\\.[01]
-epl|eclipse|eclipse public license;eclipse distribution license|epl-[12]\\.0
-cpl|common public|common public license|cpl-1\\.0
-cddl|common development|common development and distribution license|cddl-1\\.[01]
-eupl|european union|european union public licen[cs]e|eupl-1\\.[012]
-artistic|artistic|(?:perl |clarified )?artistic license|artistic-[12]\\.0
-bsl|boost|boost software license|bsl-1\\.0
-busl|business source|business source license|busl-1\\.1
-sspl|server side|server side public license|sspl-1\\.0
-elastic|elastic|elastic license|elastic-2\\.0
-unlicense|unlicen|the unlicense;unlicense|unlicense
-wtfpl|what the fuck|do what the fuck you want to public license|wtfpl
-wtfpl|wtfpl|wtfpl|wtfpl
-zlib|zlib|zlib libpng license;zlib license|zlib;zlib-acknowledgement
-libpng|libpng|libpng license|libpng;libpng-2\\.0
-openssl|openssl|openssl license|openssl
-python|python|python software foundation license;psf license agreement;python license|python-2\\.0;psf-2\\.0
-php|php|php license|php-3\\.0;php-3\\.01
-postgresql|postgresql|postgresql licen[cs]e|postgresql
-ruby|ruby|ruby license|ruby
-ncsa|illinois|university of illinois ncsa open source license|ncsa
-w3c|w3c|w3c software (?:and document )?(?:notice and )?license|w3c
-afl|academic free|academic free license|afl-[123]\\.[012]
-osl|open software|open software license|osl-[123]\\.[01]
-ecl|educational community|educational community license|ecl-[12]\\.0
-ms-pl|microsoft|microsoft public license;microsoft reciprocal license|ms-pl;ms-rl
-qpl|q public|q public license|qpl-1\\.0
-sil-ofl|open font|(?:sil )?open font license|ofl-1\\.[01]
-ubuntu-font|ubuntu|ubuntu font licen[cs]e|ubuntu-font-1\\.0
-upl|universal permissive|universal permissive license|upl-1\\.0
-vim|vim|vim license|vim
-x11|x11|x11 license|x11
-xfree86|xfree86|xfree86 license|xfree86-1\\.1
-zpl|zope|zope public license|zpl-[12]\\.[01]
-beerware|beer|beer ware license;beerware license|beerware
-cc0|cc0|cc0(?: 1\\.0)?(?: universal)?;creative commons zero|cc0-1\\.0
-cc-by-nc-sa|cc|cc by nc sa(?: \\d\\.\\d)?;creative commons attribution non ?commercial share ?alike|cc-by-nc-sa-[1234]\\.[05]
-cc-by-nc-nd|cc|cc by nc nd(?: \\d\\.\\d)?;creative commons attribution non ?commercial no ?deriv\\w*|cc-by-nc-nd-[1234]\\.[05]
-cc-by-nc|cc|cc by nc(?: \\d\\.\\d)?|cc-by-nc-[1234]\\.[05]
-cc-by-sa|cc|cc by sa(?: \\d\\.\\d)?|cc-by-sa-[1234]\\.[05]
-cc-by-nd|cc|cc by nd(?: \\d\\.\\d)?|cc-by-nd-[1234]\\.[05]
-cc-by|cc|cc by(?: \\d\\.\\d)?|cc-by-[1234]\\.[05]
-cc-by-nc|creative|creative commons attribution non ?commercial|cc-by-nc
-cc-by-sa|creative|creative commons attribution share ?alike|cc-by-sa
-cc-by-nd|creative|creative commons attribution no ?deriv\\w*|cc-by-nd
-cc-by|creative|creative commons attribution|cc-by
-cc|creative|creative commons license;creative commons|cc
-odbl|open database|open data ?base license|odbl-1\\.0
-odc-by|open data commons|open data commons attribution license|odc-by-1\\.0
-pddl|public domain|public domain dedication and license|pddl-1\\.0
-ogl|open government|open government licen[cs]e|ogl-uk-[123]\\.0
-rail|responsible ai|(?:bigscience |creativeml )?open ?rail(?: m)? license;responsible ai license|openrail
-llama|llama|llama (?:\\d(?:\\.\\d)? )?community license|llama[23]?(?:\\.\\d)?
-""".strip().splitlines()
-
-#: How a text names its license: (before, after, priority); NAME stands between.
-FRAMES = (
-    ("spdx license identifier ", "", 1),
-    ("(?:this|the) (?:work|software|program|library|file|code|project|document|material|content|dataset|data|book|text) (?:is |was |are )?(?:being )?(?:licensed|released|distributed|published|available|provided|made available) under (?:the terms of )?(?:the |a |an )?", "", 2),
-    ("(?:licensed|relicensed|sublicensed|dual licensed) under (?:the terms of )?(?:the |a |an )?", "", 2),
-    ("(?:released|distributed|published|available|provided|offered|covered|governed) (?:under|by) (?:the terms (?:and conditions )?of )?(?:the |a |an )?", "", 2),
-    ("(?:subject to|in accordance with|according to|under the terms of|under the terms and conditions of|in compliance with) (?:the |a |an )?", "", 3),
-    ("licen[cs]e (?:type |name )?(?:is )?(?:the )?", "", 3),
-    ("", "", 4),
+#: Words that ordinary prose is full of: a gate among them would let most texts pass.
+ORDINARY = frozenset(
+    "the and any for with without this that you may not are its use used from have has can all new one two three four each must more other under either such text work works file files free public general version program software "
+    "document source form code data book part provided terms rights made available person copy copies following including subject conditions commercial material only project permission permitted original library language open org "
+    "com www net database content contents state when good some day buy beer your freedom share change names holders group foundation european union government common business server side mark zero science law but make back "
+    "into action advantage advised anniversary based computer copied goods hosted included modify modified price product products shall meet extent associated executable associated in by is to of or on an as it if at be we do no "
+    "just accept use company covered user section system given real restriction respect party parties possible notice written even away benefit carry components cover date object service services includes charge independent mit arising intent derived directed distribute stuff used fuck".split()
 )
 
-#: Whole sentences of license texts: label | keyword | priority | pattern.
-SENTENCES = """
-mit|hereby granted|1|permission is hereby granted free of charge to any person obtaining a copy
-mit|substantial portions|1|shall be included in all copies or substantial portions of the software
-isc|with or without fee|1|permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
-apache|in compliance with the license|1|you may not use this file except in compliance with the license
-apache|apache.org|1|(?:https? )?(?:www )?apache org licenses license 2 0
-gpl|any later version|1|either version \\d(?:\\.\\d)? of the license or at your option any later version
-gpl|gnu.org|1|(?:https? )?(?:www )?gnu org (?:licenses|copyleft) (?:gpl|old licenses)
-lgpl|gnu.org|1|(?:https? )?(?:www )?gnu org licenses lgpl
-bsd|source code must retain|1|redistributions of source code must retain the above copyright notice
-bsd|binary form|1|redistributions in binary form must reproduce the above copyright notice
-bsd|endorse or promote|1|may be used to endorse or promote products derived from this software
-mpl|mozilla.org|1|(?:https? )?(?:www )?mozilla org mpl
-mpl|source code form|1|this source code form is subject to the terms of the mozilla public license
-cc|creativecommons.org|1|(?:https? )?(?:www )?creativecommons org (?:licenses|publicdomain) [a-z-]+
-unlicense|unencumbered|1|this is free and unencumbered software released into the public domain
-zlib|altered source|1|altered source versions must be plainly marked as such
-bsl|machine-executable|2|machine executable object code generated by a source language processor
-public-domain|public domain|3|(?:released (?:in)?to|dedicated to|placed in|in) the public domain
-warranty|as is|5|(?:is )?provided as is without (?:any )?warrant(?:y|ies)
-copyright|rights reserved|5|all rights reserved
-copyright|copyright|5|copyright (?:c )?(?:19|20)\\d\\d
-copyleft|copyleft|5|copyleft
-""".strip().splitlines()
-
-
-def _pattern(words: str) -> str:
+
+def expression(pattern: str) -> str:
     """Blanks match any white space and marks; the whole stands between word ends."""
-    return r"(?<![a-z0-9]|[^\x00-\x7F])" + words.strip().replace(" ?", MARK + "*").replace(" ", MARK + "+") + r"(?![a-z0-9]|[^\x00-\x7F])"
-
-
-def _needed(words: str) -> tuple[str, ...]:
-    """Up to three strings that every match holds, the longest first: what stands outside brackets, up to a choice."""
-    while (bare := re.sub(r"\(\?:[^()]*\)[?*+]?", "", words)) != words:
-        words = bare
-    found = {m[0] for x in re.split(r" \??", words.replace(",?", "")) if (m := re.match(r"[a-z0-9]+(?![?*a-z0-9])", x))}
-    return tuple(sorted(found, key=lambda x: (x in ("license", "software", "public"), -len(x), x))[:3])
-
-
-def rules() -> dict[tuple[str, ...], list[tuple[str, int, str]]]:
-    """(label, priority, pattern) of every rule, by the strings that a text must hold for it."""
-    found: dict[tuple[str, ...], list[tuple[str, int, str]]] = {}
-    for line in FAMILIES:
-        label, _, names, ids = line.split("|") if line.count("|") == 3 else _split(line)
-        for before, after, priority in FRAMES:
-            for name in (ids if priority == 1 else names).split(";"):
-                name = name.replace("-", " ") if priority == 1 else name
-                found.setdefault(("spdx",) if priority == 1 else _needed(name), []).append((label, priority, _pattern(before + name + after)))
-    for line in SENTENCES:
-        label, _, priority, pattern = _split(line)
-        found.setdefault(_needed(pattern), []).append((label, int(priority), _pattern(pattern)))
-    return found
-
-
-def _split(line: str) -> list[str]:
-    """Fields between bars that stand outside brackets."""
-    out, depth, at = [], 0, 0
-    for k, c in enumerate(line):
-        depth += (c in "([") - (c in ")]")
-        if c == "|" and not depth:
-            out.append(line[at:k])
-            at = k + 1
-    return [*out, line[at:]]
+    return BEFORE + pattern.replace(" ?", MARK + "*").replace(" ", MARK + "+") + AFTER
+
+
+def needed(pattern: str) -> list[str]:
+    """Strings that every match holds: what stands outside brackets, up to a choice or a repetition."""
+    while (bare := re.sub(r"\(\?:[^()]*\)[?*+]?", " ", pattern)) != pattern:
+        pattern = bare
+    found = []
+    for token in re.split(r" \??", pattern):
+        word, rest = re.match(r"([a-z0-9]*)(.*)", token).groups()
+        found.append(word[:-1] if rest[:1] in ("?", "*", "{") else word)
+    return sorted({w for w in found if len(w) > 1}, key=lambda w: (w in ORDINARY or "licen" in w, -len(w), w))
+
+
+@lru_cache(maxsize=1)
+def gates() -> tuple[str, ...]:
+    """Words of which every match of every rule holds one, few and rare ones: the word that opens most rules first."""
+    waiting, chosen = [needed(pattern) for _, _, pattern in listed()], []
+    while waiting:
+        counts: dict[str, int] = {}
+        for words in waiting:
+            for w in {"licen" if "licen" in w else w for w in words}:
+                counts[w] = counts.get(w, 0) + 1
+        best = min(counts, key=lambda w: (w in ORDINARY, len(w) < 3, -counts[w], -len(w), w))
+        chosen.append(best)
+        waiting = [words for words in waiting if not any(best == w or len(best) > 3 and best in w for w in words)]
+    return tuple(chosen)
+
+
+def gate(low: Column) -> Column:
+    """Whether a text in lower case may match a rule.  Gates of up to three letters begin at a word's start."""
+    some = None
+    for w in gates():
+        has = F.contains(low, F.lit(w))
+        if len(w) < 4:
+            has = has & F.regexp_like(low, F.lit(BEFORE + w))
+        some = has if some is None else some | has
+    return some
 
 
 def _rule_table() -> Column:
-    rows = [{"k": k, "r": [{"l": label, "p": priority, "x": x} for label, priority, x in some]} for k, some in rules().items()]
-    return F.from_json(F.lit(json.dumps(rows)), "array<struct<k:array<string>,r:array<struct<l:string,p:int,x:string>>>>")
+    """Rules under the first of their words: each has its other words, label, priority and expression."""
+    groups: dict[str, list[dict]] = {}
+    for label, priority, pattern in listed():
+        first, *others = needed(pattern)
+        groups.setdefault(first, []).append({"k": others[:2], "l": label, "p": priority, "x": expression(pattern)})
+    return F.from_json(F.lit(json.dumps([{"w": w, "r": some} for w, some in groups.items()])), "array<struct<w:string,r:array<struct<k:array<string>,l:string,p:int,x:string>>>>")
+
+
+FOUND = "array<struct<s:int,minus_e:int,p:int,l:string>>"
+#: Elements that are appended to one array; longer arrays are made of such blocks.
+BLOCK = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")), lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _running(items: Column, zero: Column, step, kind: str) -> Column:
+    """The states before each element: step(state, element) is the state after it."""
+    start = F.struct(zero.alias("at"), F.array().cast(kind).alias("out"))
+    return F.aggregate(items, start, lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
 
 
-def _places(text: Column, label: Column, priority: Column, pattern: Column) -> Column:
+def _places(text: Column, rule: Column) -> Column:
     """(start, end, priority, label) of every match: pieces and matches alternate."""
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    ends = F.aggregate(
-        F.sequence(F.lit(1), F.size(hits)),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,minus_e:int,p:int,l:string>>").alias("out")),
-        lambda acc, k: F.struct(
-            (acc["at"] + F.length(F.get(pieces, k - 1)) + F.length(F.get(hits, k - 1))).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + F.length(F.get(pieces, k - 1))).alias("s"),
-                        (-(acc["at"] + F.length(F.get(pieces, k - 1)) + F.length(F.get(hits, k - 1)))).alias("minus_e"),
-                        priority.alias("p"),
-                        label.alias("l"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.size(hits) > 0, ends).otherwise(F.array().cast("array<struct<s:int,minus_e:int,p:int,l:string>>"))
+
+    def from_lengths(lengths: Column) -> Column:
+        def in_block(block: Column, start: Column) -> Column:
+            before = _running(block, start, lambda at, x: at + x["gap"] + x["hit"], "array<int>")
+            return F.zip_with(block, before, lambda x, at: F.struct((at + x["gap"]).alias("s"), (-(at + x["gap"] + x["hit"])).alias("minus_e"), rule["p"].alias("p"), rule["l"].alias("l")))
+
+        def over(blocks: Column) -> Column:
+            total = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x["gap"] + x["hit"]))
+            return F.flatten(F.zip_with(blocks, _running(total, F.lit(0), lambda at, x: at + x, "array<int>"), in_block))
+
+        return F.when(F.size(lengths) > 0, _bound(_blocks(lengths), over)).otherwise(F.array().cast(FOUND))
+
+    hits = F.regexp_extract_all(text, rule["x"], F.lit(0))
+    pieces = F.split(text, rule["x"], -1)
+    return _bound(F.slice(F.zip_with(pieces, hits, lambda a, b: F.struct(F.length(a).alias("gap"), F.length(b).alias("hit"))), F.lit(1), F.size(hits)), from_lengths)
 
 
 LEVELS = 5
 
 
 def _unsuppressed(found: Column) -> Column:
-    """In order of start, longest first: a detection goes if one kept, no weaker, reaches as far."""
-    kind = "array<struct<s:int,minus_e:int,p:int,l:string>>"
-    reach = F.array(*[F.lit(-1) for _ in range(LEVELS)])
+    """In order of start, longest first: a detection goes if an earlier one, no weaker, reaches as far."""
 
-    def step(acc: Column, d: Column) -> Column:
-        covered = F.array_max(F.slice(acc["reach"], F.lit(1), d["p"])) >= -d["minus_e"]
-        return F.when(covered, acc).otherwise(
-            F.struct(F.concat(acc["out"], F.array(d)).alias("out"), F.transform(acc["reach"], lambda r, k: F.when(k == d["p"] - 1, F.greatest(r, -d["minus_e"])).otherwise(r)).alias("reach"))
-        )
+    def reached(reach: Column, d: Column) -> Column:
+        return F.transform(reach, lambda r, k: F.when(k == d["p"] - 1, F.greatest(r, -d["minus_e"])).otherwise(r))
 
-    return F.aggregate(F.sort_array(found), F.struct(F.array().cast(kind).alias("out"), reach.alias("reach")), step, lambda acc: acc["out"])
+    def kept(block: Column, start: Column) -> Column:
+        marked = F.zip_with(block, _running(block, start, reached, "array<array<int>>"), lambda d, reach: F.struct(d.alias("d"), (F.array_max(F.slice(reach, F.lit(1), d["p"])) < -d["minus_e"]).alias("stays")))
+        return F.transform(F.filter(marked, lambda m: m["stays"]), lambda m: m["d"])
+
+    def over(blocks: Column) -> Column:
+        none = F.array(*[F.lit(-1) for _ in range(LEVELS)])
+        far = F.transform(blocks, lambda b: F.aggregate(b, none, reached))
+        starts = _running(far, none, lambda reach, x: F.zip_with(reach, x, lambda a, b: F.greatest(a, b)), "array<array<int>>")
+        return F.flatten(F.zip_with(blocks, starts, kept))
+
+    return _bound(F.sort_array(found), lambda s: F.when(F.size(s) > 0, _bound(_blocks(s), over)).otherwise(F.array().cast(FOUND)))
 
 
 def detections(text: Column) -> Column:
     """The detections of a text that no other suppresses: array of (s, minus_e, p, l)."""
-    low = F.lower(text)
-    live = F.flatten(F.transform(F.filter(_rule_table(), lambda f: F.forall(f["k"], lambda w: F.contains(low, w))), lambda f: f["r"]))
-    return _unsuppressed(F.flatten(F.transform(live, lambda r: _places(low, r["l"], r["p"], r["x"]))))
+
+    def found(low: Column) -> Column:
+        live = F.flatten(F.transform(F.filter(_rule_table(), lambda g: F.contains(low, g["w"])), lambda g: g["r"]))
+        live = F.filter(live, lambda r: F.forall(r["k"], lambda w: F.contains(low, w)))
+        return _unsuppressed(F.flatten(F.transform(live, lambda r: _places(low, r))))
+
+    low = lower_ascii(text)
+    return F.when(gate(low), _bound(low, found)).otherwise(F.array().cast(FOUND))
 
 
 def base_pattern(phrases=PHRASES) -> str:
