@@ -1,5 +1,5 @@
-"""Arrow-batched functions for what column expressions cannot say exactly: canonical JSON, seeded sampling,
-even spacing with Python's rounding, first JSON object, case folding, completion phrases."""
+"""Arrow-batched functions for what column expressions cannot say exactly: canonical JSON, Python's seeded
+generator, rounding to significant digits, and the first JSON value of an answer."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ import random
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,18 +20,6 @@ FORMS = {
     "sorted-compact": dict(sort_keys=True, ensure_ascii=False, separators=(",", ":")),
     "ascii": dict(sort_keys=True),
 }
-#: Phrases about completion, and the canonical endings.
-COMPLETE, INCOMPLETE = "Task complete.", "Task not yet complete."
-CLOSING_CLAIM = re.compile(r"(?:^|(?<=[.!?;]))\s*(?:the\s+)?task\s+(?:is\s+)?not\s+(?:yet\s+)?complete(?P<reason>\s+(?:as|because)\s+[^.!?;]+)?[.!]?\s*$", re.I)
-SAYS_INCOMPLETE = re.compile(r"\b(?:is|are)\s+not\s+(?:yet\s+)?complete[.!]?\s*$", re.I)
-SAYS_COMPLETE = re.compile(r"\b(?:is|are)\s+complete[.!]?\s*$", re.I)
-#: Fixed value: words that betray context the learner does not have.
-LEAK = re.compile(
-    r"\b(?:future frames?|past frames?|timestamps?|progress percentage|episode progress|later in the episode|earlier in the episode|"
-    r"(?:in|from|throughout)\s+(?:the\s+)?video|(?:the\s+)?video\s+(?:shows?|reveals?|indicates?|depicts?|demonstrates?|context|frames?))\b",
-    re.I,
-)
-
 
 KINDS = {"string": T.StringType(), "double": T.DoubleType(), "array<int>": T.ArrayType(T.IntegerType())}
 
@@ -92,12 +79,16 @@ def first_object(text: str | None) -> str | None:
 first_json_object = _typed(first_object, "string")
 
 
-def folded(text: str | None) -> str | None:
-    """Words joined by one blank, case folded."""
-    return None if text is None else " ".join(text.split()).casefold()
+def first_bare_object(text: str | None) -> str | None:
+    """The object that begins at the first brace, whatever stands before and after it."""
+    at = (text or "").find("{")
+    try:
+        return None if at < 0 else json.dumps(json.JSONDecoder().raw_decode(text, at)[0], **FORMS["compact"])
+    except ValueError:
+        return None
 
 
-casefolded = _typed(folded, "string")
+first_json_object_unfenced = _typed(first_bare_object, "string")
 
 
 def three_digits(x: float | None) -> float | None:
@@ -107,66 +98,15 @@ def three_digits(x: float | None) -> float | None:
 three_significant = _typed(three_digits, "double")
 
 
-def completion(text: str | None) -> str | None:
-    """A progress text with the canonical ending where it states the judgment; unchanged where it does not."""
-    if text is None:
-        return None
-    body = text.rstrip()
-    for ending in (INCOMPLETE, COMPLETE):
-        if body.lower().endswith(ending.lower()):
-            return body[: len(body) - len(ending)] + ending
-    claim = CLOSING_CLAIM.search(body)
-    if claim and claim["reason"]:
-        return f"{body.rstrip('.!')}; {INCOMPLETE}"
-    if claim:
-        return f"{body[: claim.start()].rstrip()} {INCOMPLETE}" if claim.start() else INCOMPLETE
-    last = re.split(r"(?<=[.!;])\s+", body)[-1].strip()
-    hedged = re.search(r"\b(?:may|might|could)\b", last, re.I) or last.lower().startswith("if ") or last.endswith("?") or any(q in last for q in "\"'")
-    if hedged or not re.search(r"(?<!sub)\btasks?\b", last, re.I):
-        return text
-    for says, ending in ((SAYS_INCOMPLETE, INCOMPLETE), (SAYS_COMPLETE, COMPLETE)):
-        if says.search(last):
-            return f"{body.rstrip('.!')}; {ending}"
-    return text
-
-
-completion_suffix = _typed(completion, "string")
-
-
-def spaced(first: int, last: int, n: int) -> list[int]:
-    """n whole numbers evenly spaced over first..last, ties rounded to even."""
-    return [int(round(x)) for x in np.linspace(first, last, n)] if n > 0 else []
-
-
-def bounded(first: int | None, last: int | None, important, maximum: int) -> list[int]:
-    """At most ``maximum`` frames of first..last: the important ones, then evenly spaced ones, then from the low end."""
-    if first is None or last is None or last < first:
-        return []
-    if last - first < maximum:
-        return list(range(first, last + 1))
-    chosen = sorted({int(x) for x in (important if important is not None else ()) if first <= x <= last})
-    if len(chosen) >= maximum:
-        return chosen[:maximum]
-    have = set(chosen) | set(spaced(first, last, maximum - len(chosen)))
-    low = first
-    while len(have) < maximum:
-        have.add(low)
-        low += 1
-    return sorted(have)[:maximum]
-
-
-bounded_frames = _typed(bounded, "array<int>")
-
-
-def seeded(population, count: int | None, seed: str | None) -> list[int]:
-    """A sample without replacement, sorted; the seed is the head of the SHA-256 of a compact JSON list."""
-    if population is None or not count or count <= 0 or not len(population):
+def seeded_ranks(n: int | None, count: int | None, seed: str | None) -> list[int]:
+    """Which of n places a sample without replacement takes, sorted; the seed is the head of the SHA-256 of a compact JSON list."""
+    if not n or n <= 0 or not count or count <= 0:
         return []
     generator = random.Random(int(hashlib.sha256(seed.encode()).hexdigest()[:16], 16))
-    return sorted(generator.sample([int(x) for x in population], min(count, len(population))))
+    return sorted(generator.sample(range(n), min(count, n)))
 
 
-seeded_sample = _typed(seeded, "array<int>")
+sampled_ranks = _typed(seeded_ranks, "array<int>")
 
 
 def history(start: int | None, query: int | None, fps: float | None, rate: float = 5.0) -> list[int] | None:
@@ -183,10 +123,3 @@ def _history(start, query, fps):
 
 history_frames = _typed(_history, "array<int>")
 
-
-def progress_leak(text: str | None) -> str | None:
-    found = LEAK.search(text or "")
-    return found[0].lower() if found else None
-
-
-leaked_phrase = _typed(progress_leak, "string")

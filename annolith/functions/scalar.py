@@ -56,10 +56,54 @@ def sentence(x: Column | str) -> Column:
     return F.when(F.length(text) > 0, F.when(text.rlike("[.!?]"), text).otherwise(F.concat(text, F.lit("."))))
 
 
+def casefold(x: Column | str) -> Column:
+    """Unicode case folding: lower case of upper case joins what one of them alone keeps apart (eszett, final sigma, ligatures).
+
+    The dotless i, which upper case would join with i, is put aside meanwhile; the optimizer takes lower case of upper case
+    for one conversion, so the translation that brings it back stands between the two.
+    """
+    upper = F.upper(F.translate(col(x), "\u0131\u1e9e", "\ue000\u00df"))
+    return F.translate(F.lower(F.translate(upper, "\ue000", "\u0131")), "\u03c2", "\u03c3")
+
+
+#: The two endings of a progress text, and words that betray context the learner does not have.
+COMPLETE, INCOMPLETE = "Task complete.", "Task not yet complete."
+LEAK = (
+    r"(?iU)\b(?:future frames?|past frames?|timestamps?|progress percentage|episode progress|later in the episode|earlier in the episode|"
+    r"(?:in|from|throughout)\s+(?:the\s+)?video|(?:the\s+)?video\s+(?:shows?|reveals?|indicates?|depicts?|demonstrates?|context|frames?))\b"
+)
+#: How a text may state the judgment, strongest first.  A denial that closes the text gives way to the ending unless it
+#: gives a reason; a sentence about the task that ends in a verdict is kept, with the ending after it.
+DENIAL = r"(?iU)(?:^|(?<=[.!?;]))\s*(?:the\s+)?task\s+(?:is\s+)?not\s+(?:yet\s+)?complete(\s+(?:as|because)\s+[^.!?;]+)?[.!]?$"
+VERDICT = r"(?iU)\b(?:is|are)\s+(not\s+(?:yet\s+)?)?complete[.!]?$"
+ABOUT_TASK, HEDGED = r"(?iU)(?<!sub)\btasks?\b", r"(?iU)\b(?:may|might|could)\b|^if |[\"']|\?$"
+
+
+def completion_suffix(x: Column | str) -> Column:
+    """A progress text with the canonical ending where it states the judgment; unchanged where it does not.
+
+    Conditionals, quotes and questions state none, nor do sentences about a subtask.
+    """
+    text = col(x)
+    body = F.regexp_replace(text, r"(?U)\s+$", "")
+    kept = F.regexp_replace(body, "[.!]+$", "")
+    last = F.trim(F.element_at(F.split(body, r"(?U)(?<=[.!;])\s+"), -1))
+    before = F.regexp_replace(F.regexp_replace(body, DENIAL, ""), r"(?U)\s+$", "")
+    ended = [F.when(F.lower(body).endswith(e.lower()), F.concat(F.substr(body, F.lit(1), F.length(body) - len(e)), F.lit(e))) for e in (INCOMPLETE, COMPLETE)]
+    denied = F.when(body.rlike(DENIAL), F.when(F.regexp_extract(body, DENIAL, 1) != "", F.concat(kept, F.lit(f"; {INCOMPLETE}"))).otherwise(F.concat_ws(" ", F.nullif(before, F.lit("")), F.lit(INCOMPLETE))))
+    verdict = F.concat(kept, F.when(F.regexp_extract(last, VERDICT, 1) != "", F.lit(f"; {INCOMPLETE}")).otherwise(F.lit(f"; {COMPLETE}")))
+    stated = F.when(last.rlike(VERDICT) & last.rlike(ABOUT_TASK) & ~last.rlike(HEDGED), verdict)
+    return F.coalesce(*ended, denied, stated, text)
+
+
+def leaked_phrase(x: Column | str) -> Column:
+    """The first phrase, in lower case, that betrays privileged context; null if there is none."""
+    return F.lower(F.nullif(F.regexp_extract(col(x), LEAK, 0), F.lit("")))
+
+
 def progress_sentence(x: Column | str) -> Column:
     """A sentence whose completion suffix follows a semicolon, not a full stop."""
-    suffix = r"(Task (?:not yet )?complete\.)$"
-    return F.regexp_replace(F.regexp_replace(sentence(x), r"\.\s+" + suffix, "; $1"), r"\.\s*;\s*" + suffix, "; $1")
+    return F.regexp_replace(sentence(x), r"\.(?:\s+|\s*;\s*)(Task (?:not yet )?complete\.)$", "; $1")
 
 
 def event_name(verb: Column | str, thing: Column | str) -> Column:
@@ -81,6 +125,7 @@ def task_name(description: Column | str, name: Column | str, limit: int = TASK_N
 def prompt_task_name(prompt: Column | str, limit: int = TASK_NAME_CHARS) -> Column:
     """The global task in a prompt: three phrasings, else the answer or the last assistant's words."""
     context = collapse(F.element_at(F.split(col(prompt), r"Global task context:\n"), -1))
+    #: How prompts state the task.
     phrasings = (
         r"(?i)(?:the\s+)?(?:agent|robot)(?:\s+in\s+the\s+video)?\s+was\s+given\s+the\s+instruction\s*[-:]\s*(.+?)(?:[?.]|$)",
         r"(?i)current\s+goal\s+is\s*:\s*(.+?)(?:[?.]|\blast\s+\d+\s+steps\s*:|$)",

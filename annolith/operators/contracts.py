@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annolith.functions.scalar import box_center, collapse, event_name, finite, sha_pattern, valid_box
+from annolith.functions.scalar import box_center, casefold, collapse, event_name, finite, sha_pattern, valid_box
 
 from .grids import FUTURE_FPS, FUTURE_S, TARGET_FPS, TEACHER_FPS, int_range
 from .inventory import MAX_OBJECTS
 
-#: Contract ids, versions, stages and media kinds that records carry.
+#: Contract ids, versions, stages and media kinds that records carry, and, below, the names of failures.
 CONTRACT_IDS = {
     "subtask": ("vqa-anno-raw-subtask/v2",),
     "ecot": ("vqa-anno-raw-ecot-privileged-teacher-0.5fps-atomic/v3", "vqa-anno-raw-ecot-privileged-2fps-atomic/v2"),
@@ -92,7 +92,7 @@ def _close(a: Column, b: Column, tolerance: float) -> Column:
 
 
 def _step_signature(s: Column) -> Column:
-    return F.array(*[F.lower(collapse(F.coalesce(s[f], F.lit("")))) for f in ("subtask", "action", "object", "source", "target")])
+    return F.array(*[casefold(collapse(F.coalesce(s[f], F.lit("")))) for f in ("subtask", "action", "object", "source", "target")])
 
 
 def subtask_failures(result: Column) -> Column:
@@ -145,8 +145,13 @@ def ecot_failures(result: Column, requests: Column) -> Column:
     part = lambda f, k: F.get(F.from_json(F.get(f["messages"], F.lit(0))["content"], "array<struct<type:string,image:string,text:string>>"), F.lit(k))
     two = lambda f: F.coalesce(F.size(f["messages"]) == 2, F.lit(False))
     canonical = lambda text: F.from_json(text, f"struct<scene_description:string,task_progress:string,current_subtask:{FIELDS},atomic_action:string>")
-    target_ok = lambda f: _is(F.get(f["messages"], F.lit(1))["role"], "assistant") & canonical(F.get(f["messages"], F.lit(1))["content"]).eqNullSafe(canonical(f["structured_ecot"]))
-    input_ok = lambda f: _is(F.get(f["messages"], F.lit(0))["role"], "user") & F.coalesce(types(f) == F.array(F.lit("image"), F.lit("text")), F.lit(False)) & part(f, 0)["image"].eqNullSafe(F.get_json_object(f["training_input"], "$.image")) & F.coalesce(part(f, 1)["text"].contains("atomic_action"), F.lit(False))
+    turn = lambda f, k: F.get(f["messages"], F.lit(k))
+    assistant = lambda f: _is(turn(f, 1)["role"], "assistant")
+    target_ok = lambda f: assistant(f) & canonical(turn(f, 1)["content"]).eqNullSafe(canonical(f["structured_ecot"]))
+    # What cannot be read ends the look at the messages: a role or content that is missing, an answer that is no JSON.
+    no_target = lambda f: turn(f, 1)["role"].isNull() | (assistant(f) & F.try_parse_json(turn(f, 1)["content"]).isNull())
+    no_input = lambda f: turn(f, 0)["content"].isNull() | turn(f, 0)["role"].isNull()
+    input_ok = lambda f: _is(turn(f, 0)["role"], "user") & F.coalesce(types(f) == F.array(F.lit("image"), F.lit("text")), F.lit(False)) & part(f, 0)["image"].eqNullSafe(F.get_json_object(f["training_input"], "$.image")) & F.coalesce(part(f, 1)["text"].contains("atomic_action"), F.lit(False))
     teacher = F.filter(requests, lambda q: _is(q["stage"], "privileged_complete_video_ecot"))
     kind = F.when(legacy, "complete_2fps_episode_video_plus_target_image").otherwise("complete_0.5fps_episode_video_plus_target_image")
     before: list[Check] = [
@@ -166,8 +171,9 @@ def ecot_failures(result: Column, requests: Column) -> Column:
         ("invalid_ecot_atomic_action", _many(structured, lambda f: ~atomic_action_ok(inner(f, "atomic_action")))),
         *[(f"ecot_{name}_mismatch", _many(structured, lambda f, name=name: ~same(f, name))) for name in ("task_progress", "current_subtask", "atomic_action")],
         ("invalid_ecot_training_messages", _many(structured, lambda f: ~two(f))),
-        ("ecot_training_message_target_mismatch", _many(structured, lambda f: two(f) & ~target_ok(f))),
-        ("ecot_training_message_input_mismatch", _many(structured, lambda f: two(f) & ~input_ok(f))),
+        ("ecot_training_message_target_mismatch", _many(structured, lambda f: two(f) & ~no_target(f) & ~target_ok(f))),
+        ("invalid_ecot_training_message_target", _many(structured, lambda f: two(f) & (no_target(f) | no_input(f)))),
+        ("ecot_training_message_input_mismatch", _many(structured, lambda f: two(f) & ~no_target(f) & ~no_input(f) & ~input_ok(f))),
         ("invalid_ecot_task_progress", _many(structured, lambda f: ~_ending(inner(f, "task_progress")))),
         ("invalid_ecot_current_subtask", _many(structured, lambda f: _not(keys(inner(f, "current_subtask")) == fields))),
         ("ecot_training_input_leaks_or_is_invalid", _many(structured, lambda f: _not(keys(f["training_input"]) == inputs))),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annolith.functions import pyfuncs
-from annolith.functions.scalar import collapse, progress_sentence, sentence
+from annolith.functions.scalar import collapse, completion_suffix, leaked_phrase, progress_sentence, sentence
 
 from .contracts import REVIEW_MODELS, REVIEW_POLICY, atomic_action_ok
 
@@ -37,7 +37,7 @@ def parse(answers: DataFrame, *, value: str = "value") -> DataFrame:
     """
     raw = F.from_json(value, PARSED)
     step = F.get_json_object(value, "$.current_subtask")
-    rows = answers.withColumn("_r", raw).withColumn("_progress", progress_sentence(pyfuncs.completion_suffix(F.coalesce(F.col("_r.task_progress"), F.lit("")))))
+    rows = answers.withColumn("_r", raw).withColumn("_progress", progress_sentence(completion_suffix(F.coalesce(F.col("_r.task_progress"), F.lit("")))))
     rows = rows.withColumn("_scene", sentence(F.coalesce(F.col("_r.scene_description"), F.lit(""))))
     goal = collapse(F.coalesce(F.col("_r.current_subtask.subtask"), F.lit("")))
     goal = F.lower(sentence(F.when((goal != "") & ~goal.rlike("[.!?]$"), F.concat(goal, F.lit("."))).otherwise(goal)))
@@ -46,7 +46,7 @@ def parse(answers: DataFrame, *, value: str = "value") -> DataFrame:
     rows = rows.withColumn("_goal", goal).withColumn("_parts", F.struct(*[low(part(f)).alias(f) for f in FIELDS[1:]]))
     action = F.col("_r.atomic_action")
     rows = rows.withColumn("_action", collapse(F.when(action == "None", action).otherwise(F.lower(action))))
-    rows = rows.withColumn("_leak", pyfuncs.leaked_phrase(F.concat_ws(" ", "_scene", "_progress", "_goal", "_action")))
+    rows = rows.withColumn("_leak", leaked_phrase(F.concat_ws(" ", "_scene", "_progress", "_goal", "_action")))
     empty = F.col("_goal") == NOTHING_LEFT
     blank = F.lit(False)
     for f in FIELDS[1:]:

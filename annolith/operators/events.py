@@ -135,20 +135,28 @@ def image_intervals(events: DataFrame, *, lookback: float = 1.0, gap: float = 0.
     return rows.withColumn("first_frame", first.cast("int")).withColumn("last_frame", last.cast("int"))
 
 
-def observations(intervals: DataFrame, *, count: int = 3, seed: int = 0) -> DataFrame:
+def observations(intervals: DataFrame, *, count: int = 3, seed: int = 0, hashed: bool = False) -> DataFrame:
     """A seeded sample of eligible frames for each event: frames between the bounds that are no contact's.
 
-    Adds eligible (how many), sampled (an array), and sampled_hash, the draw that column functions alone can
-    make: the ``count`` frames with the smallest hash of seed and frame (another choice, as well mixed).
+    Adds eligible (how many) and sampled (an array).  Only the number of eligible frames and the seed go to Python, whose
+    generator draws places; a place becomes a frame by stepping over the contact frames before it.  hashed adds
+    sampled_hash, a draw that column functions alone can make: the ``count`` frames with the smallest hash of seed and
+    frame (another choice, as well mixed).
     """
-    contacts = intervals.groupBy("uid").agg(F.collect_set("contact_frame").alias("_contacts"))
-    rows = intervals.join(contacts, "uid").withColumn("_eligible", F.array_except(int_range(F.col("first_frame"), F.col("last_frame") + 1), "_contacts")).drop("_contacts")
-    parts = F.concat(
-        F.lit(f"[{seed},"), F.to_json(F.array("uid")).substr(F.lit(2), F.length(F.to_json(F.array("uid"))) - 2), F.lit(","), F.coalesce(F.col("step_id").cast("string"), F.lit("null")), F.lit(","),
-        F.coalesce(F.to_json(F.array("event_id")).substr(F.lit(2), F.length(F.to_json(F.array("event_id"))) - 2), F.lit("null")), F.lit(","), F.coalesce(F.col("contact_frame").cast("string"), F.lit("null")), F.lit(","), F.col("t").cast("string"), F.lit("]"),
-    )
-    ranked = F.array_sort(F.transform("_eligible", lambda f: F.struct(F.xxhash64(F.lit(seed), F.col("uid"), F.col("event_id"), f).alias("h"), f.alias("f"))))
-    return rows.withColumn("eligible", F.size("_eligible")).withColumn("sampled", pyfuncs.seeded_sample("_eligible", F.lit(count), parts)).withColumn("sampled_hash", F.array_sort(F.transform(F.slice(ranked, 1, count), lambda x: x["f"]))).drop("_eligible")
+    contacts = intervals.groupBy("uid").agg(F.array_sort(F.collect_set("contact_frame")).alias("_contacts"))
+    inside = F.filter("_contacts", lambda c: c.between(F.col("first_frame"), F.col("last_frame")))
+    rows = intervals.join(contacts, "uid").withColumn("_inside", inside).drop("_contacts")
+    rows = rows.withColumn("eligible", F.greatest(F.lit(0), F.col("last_frame") - F.col("first_frame") + 1) - F.size("_inside"))
+    quoted = lambda c: F.coalesce(F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2), F.lit("null"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    parts = F.concat(F.lit(f"[{seed},"), F.concat_ws(",", quoted("uid"), text("step_id"), quoted("event_id"), text("contact_frame"), F.col("t").cast("string")), F.lit("]"))
+    frame = lambda rank: F.aggregate("_inside", F.col("first_frame") + rank, lambda f, c: f + (c <= f).cast("int"))
+    out = rows.withColumn("_ranks", pyfuncs.sampled_ranks("eligible", F.lit(count), parts)).withColumn("sampled", F.transform("_ranks", frame))
+    if hashed:
+        free = F.array_except(int_range(F.col("first_frame"), F.col("last_frame") + 1), "_inside")
+        ranked = F.array_sort(F.transform(free, lambda f: F.struct(F.xxhash64(F.lit(seed), F.col("uid"), F.col("event_id"), f).alias("h"), f.alias("f"))))
+        out = out.withColumn("sampled_hash", F.array_sort(F.transform(F.slice(ranked, 1, count), lambda x: x["f"])))
+    return out.drop("_inside", "_ranks")
 
 
 def exploded_observations(sampled: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from annolith.functions import pyfuncs
 from annolith.functions.scalar import half_even, window_key
 
 TARGET_FPS, TEACHER_FPS, FUTURE_FPS, FUTURE_S = 2.0, 0.5, 3.0, 4.0
@@ -81,7 +80,25 @@ def contact_candidates(events: DataFrame, *, seconds: float = CONTACT_S, maximum
     inside = F.filter("boundaries", lambda b: (b >= F.col("first") / fps) & (b <= F.col("last") / fps))
     edges = F.flatten(F.transform(inside, lambda b: F.array((half_even(b * fps) - 1).cast("int"), half_even(b * fps).cast("int"))))
     rows = events.withColumn("first", first).withColumn("last", last).withColumn("important", F.concat(F.array(half_even(at * fps).cast("int")), edges))
-    return rows.withColumn("candidates", pyfuncs.bounded_frames("first", "last", "important", F.lit(maximum)))
+    return rows.withColumn("candidates", bounded(F.col("first"), F.col("last"), F.col("important"), maximum))
+
+
+def bounded(first: Column, last: Column, important: Column, maximum: int) -> Column:
+    """At most ``maximum`` frames of first..last, sorted: all if they fit, else the important ones and evenly spaced ones.
+
+    Ties of the spacing go to the even frame; where spaced frames fall together, frames from the low end fill up.
+    Important frames alone are cut to the maximum, the lowest first.
+    """
+    none = F.array().cast("array<int>")
+    own = F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce(important, none), lambda x: x.cast("int")), lambda x: x.between(first, last))))
+    room = F.lit(maximum) - F.size(own)
+    step = (last - first) / F.nullif(room - 1, F.lit(0))
+    spread = F.transform(int_range(F.lit(0), room), lambda k: F.when(k == 0, first).when(k == room - 1, last).otherwise(F.bround(k * step + first)).cast("int"))
+    both = F.array_union(own, spread)
+    low = F.array_except(int_range(first, F.least(last, first + 2 * maximum) + 1), both)
+    filled = F.concat(both, F.slice(low, F.lit(1), F.greatest(F.lit(0), F.lit(maximum) - F.size(both))))
+    some = F.when(room <= 0, F.slice(own, 1, maximum)).otherwise(F.slice(F.array_sort(filled), 1, maximum))
+    return F.when(first.isNull() | last.isNull() | (last < first), none).when(last - first < maximum, int_range(first, last + 1)).otherwise(some)
 
 
 def fallback_frames(frame_count: Column, maximum: int = 12) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from annolith.functions.scalar import finite, two_decimal
@@ -18,8 +19,8 @@ def point_rows(pairs: DataFrame, *, keys: tuple[str, ...] = ("uid", "event_id"))
     """Pairs (pair_index, h_xy, o_xy) to a row for each point: point_id, role, xy, and error for a bad or repeated one."""
     both = F.array(*[F.struct(F.concat(F.lit(p), F.col("pair_index")).alias("point_id"), F.lit(r).alias("role"), F.col(c).alias("xy")) for p, r, c in (("H", "contact_agent", "h_xy"), ("O", "contacted_object", "o_xy"))])
     rows = pairs.select(*keys, "pair_index", F.inline(F.filter(both, lambda p: p["xy"].isNotNull())))
-    counts = rows.groupBy(*keys, "point_id").agg(F.count("*").alias("_n"))
-    return rows.join(counts, [*keys, "point_id"]).withColumn("error", F.when(F.col("_n") > 1, "duplicate_point").when(~_xy_ok(F.col("xy")), "invalid_point")).drop("_n")
+    same = F.count("*").over(W.partitionBy(*keys, "point_id"))
+    return rows.withColumn("error", F.when(same > 1, "duplicate_point").when(~_xy_ok(F.col("xy")), "invalid_point"))
 
 
 def pair_rows(points: DataFrame, *, keys: tuple[str, ...] = ("uid", "event_id")) -> DataFrame:
@@ -45,8 +46,6 @@ def decoded_detections(frames: DataFrame, *, keys: tuple[str, ...] = ("uid", "ev
     size = (F.col("width"), F.col("height"))
     grid = lambda f: F.array(*[pixel_to_grid(F.get(F.col(f"_pair.{f}"), F.lit(k)), s) for k, s in enumerate(size)])
     inside = lambda f: F.coalesce((F.size(f"_pair.{f}") == 2) & F.get(f"_pair.{f}", F.lit(0)).between(0, size[0] - 1) & F.get(f"_pair.{f}", F.lit(1)).between(0, size[1] - 1), F.lit(False))
-    from pyspark.sql import Window as W
-
     n = F.row_number().over(W.partitionBy(*keys).orderBy("detection", "_p")) - 1
     return rows.select(*keys, n.alias("pair_index"), "detection", grid("h_point").alias("h_xy"), grid("o_point").alias("o_xy"), F.when(~(inside("h_point") & inside("o_point")), "invalid_coordinate").alias("error"))
 
@@ -88,25 +87,30 @@ def reviewed_pairs(pairs: DataFrame, decisions: DataFrame, *, keys: tuple[str, .
 
 
 def contact_gate(pairs: DataFrame, decisions: DataFrame, labels: DataFrame | None = None, *, keys: tuple[str, ...] = ("uid", "event_id"), require_side: bool = False) -> DataFrame:
-    """Adds reasons for which a pair is removed at contact; a pair without reasons stays.
+    """Adds reasons for which a pair is removed at contact, and conflicting; a pair without reasons stays.
 
-    Computed from the unfiltered pairs, so running it again changes nothing.
+    A point with several decisions passes if all of them accept it; conflicting says that they differ.  Decisions and
+    hand sides become one row for each pair before the one join.  Computed from the unfiltered pairs, so running it
+    again changes nothing.
     """
-    out = pairs
-    sources = [("_d", decisions.select(*keys, "point_id", F.col("accepted").alias("v")))]
+    none = F.lit(None)
+    said = decisions.select(*keys, "point_id", "accepted", none.cast("string").alias("side"))
     if labels is not None:
-        sources.append(("_s", labels.select(*keys, "point_id", F.col("hand_side").alias("v"))))
-    for name, table in sources:
-        for p in ("H", "O"):
-            of = table.where(F.col("point_id").startswith(p)).select(*keys, F.substring("point_id", 2, 12).cast("int").alias("pair_index"), F.col("v").alias(name + p))
-            out = out.join(of.dropDuplicates([*keys, "pair_index"]), [*keys, "pair_index"], "left")
+        said = said.unionByName(labels.select(*keys, "point_id", none.cast("boolean").alias("accepted"), F.col("hand_side").alias("side")))
+    said = said.withColumn("pair_index", F.substring("point_id", 2, 12).cast("int")).withColumn("_p", F.substring("point_id", 1, 1))
+    of = lambda p, c: F.when(F.col("_p") == p, F.col(c))
+    one = said.groupBy(*keys, "pair_index").agg(
+        *[f(of(p, "accepted")).alias(f"_{name}{p}") for p in ("H", "O") for name, f in (("all", F.bool_and), ("any", F.bool_or))], F.min(of("H", "side")).alias("_side"), F.count_distinct(of("H", "side")).alias("_sides")
+    )
+    out = pairs.join(one, [*keys, "pair_index"], "left")
     found = []
     for p, c in (("H", "h_xy"), ("O", "o_xy")):
-        found += [F.when(F.col(c).isNull(), F.lit(f"{p}_missing_or_rejected_at_contact")), F.when(F.col(f"_d{p}").eqNullSafe(F.lit(False)), F.lit(f"{p}_contact_review_failed"))]
+        found += [F.when(F.col(c).isNull(), F.lit(f"{p}_missing_or_rejected_at_contact")), F.when(F.col(f"_all{p}").eqNullSafe(F.lit(False)), F.lit(f"{p}_contact_review_failed"))]
     if require_side:
-        side = F.col("_sH") if labels is not None else F.lit(None).cast("string")
-        found.append(F.when(~F.coalesce(side.isin("left", "right"), F.lit(False)), F.lit("H_handedness_unknown_or_missing")))
-    return out.withColumn("reasons", F.array_compact(F.array(*found))).drop(*[c for c in out.columns if c.startswith(("_d", "_s"))])
+        sure = F.coalesce((F.col("_sides") == 1) & F.col("_side").isin("left", "right"), F.lit(False))
+        found.append(F.when(~sure, F.lit("H_handedness_unknown_or_missing")))
+    differ = [F.coalesce(c, F.lit(False)) for c in (F.col("_allH") != F.col("_anyH"), F.col("_allO") != F.col("_anyO"), F.col("_sides") > 1)]
+    return out.withColumn("reasons", F.array_compact(F.array(*found))).withColumn("conflicting", differ[0] | differ[1] | differ[2]).drop("_allH", "_anyH", "_allO", "_anyO", "_side", "_sides")
 
 
 def observation_gate(points: DataFrame, gated: DataFrame, tracks: DataFrame, checks: DataFrame, *, keys: tuple[str, ...] = ("uid", "event_id"), frame: str = "query_frame") -> DataFrame:

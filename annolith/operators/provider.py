@@ -67,6 +67,58 @@ def parsed_answers(answers: DataFrame, schema: str) -> DataFrame:
     return body.withColumn("error", F.coalesce("error", F.when(F.col("value").isNull(), "response_unparseable")) if "error" in answers.columns else F.when(F.col("value").isNull(), F.lit("response_unparseable"))).drop("_o")
 
 
+def fenced_steps(raw: Column | str) -> Column:
+    """The non-empty list of objects in an answer, as an array of their JSON; null if it has none.
+
+    A code fence around it is opened; an object gives its ``subtasks``, or, if that is empty, its ``steps``.
+    """
+    text = F.trim(F.col(raw) if isinstance(raw, str) else raw)
+    fence = r"(?is)^```(?:json)?\s*(.*?)\s*```$"
+    body = F.when(text.rlike(fence), F.regexp_extract(text, fence, 1)).otherwise(text)
+    body = F.when(F.try_parse_json(body).isNotNull(), body)
+    listed = lambda c: F.when(F.ltrim(c).startswith("["), F.from_json(c, "array<string>"))
+    member = lambda name: F.when(F.size(listed(F.get_json_object(body, f"$.{name}"))) > 0, listed(F.get_json_object(body, f"$.{name}")))
+    rows = F.when(F.ltrim(body).startswith("{"), F.coalesce(member("subtasks"), member("steps"))).otherwise(listed(body))
+    return F.when((F.size(rows) > 0) & F.forall(rows, lambda r: F.coalesce(F.ltrim(r).startswith("{"), F.lit(False))), rows)
+
+
+#: The answer schema of a reasoning request: fields and the longest text each may have (None: any).
+ANSWER_FIELDS = {"scene_description": None, "task_progress": None, "atomic_action": 240}
+STEP_FIELDS = {"subtask": None, "action": 80, "object": 120, "source": 160, "target": 160}
+
+
+def response_schema() -> dict:
+    """The strict JSON schema that a reasoning request asks the provider to answer by."""
+    text = lambda most: {"type": "string", "minLength": 1} | ({"maxLength": most} if most else {})
+    closed = lambda properties, order: {"type": "object", "additionalProperties": False, "required": order, "properties": properties}
+    step = closed({f: text(n) for f, n in STEP_FIELDS.items()}, list(STEP_FIELDS))
+    order = ["scene_description", "task_progress", "current_subtask", "atomic_action"]
+    return {"name": "privileged_video_ecot_atomic_v2", "strict": True, "schema": closed({f: text(n) for f, n in ANSWER_FIELDS.items()} | {"current_subtask": step}, order)}
+
+
+def schema_errors(answer: Column | str) -> Column:
+    """Paths at which an answer (JSON text) breaks ``response_schema``: missing or further fields, no text, empty or too long."""
+    body = F.col(answer) if isinstance(answer, str) else answer
+
+    def level(text: Column, prefix: str, fields: dict[str, int | None], objects: tuple[str, ...] = ()) -> list[Column]:
+        keys = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+        known = F.array(*[F.lit(f) for f in (*fields, *objects)])
+        found = [F.transform(F.array_sort(F.array_except(keys, known)), lambda k: F.concat(F.lit(f"{prefix}additional:"), k))]
+        for f in objects:
+            found.append(F.when(~F.coalesce(F.ltrim(F.get_json_object(text, f"$.{f}")).startswith("{"), F.lit(False)), F.array(F.lit(f"{prefix}{f}"))))
+        for f, most in fields.items():
+            value = F.try_variant_get(F.try_parse_json(text), f"$.{f}", "string")
+            is_text = F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), f"$.{f}", "variant")) == "STRING"
+            bad = ~F.coalesce(is_text & (F.length(value) >= 1) & (F.length(value) <= (most or 1 << 30)), F.lit(False))
+            found.append(F.when(bad, F.array(F.lit(f"{prefix}{f}"))))
+        return found
+
+    none = F.array().cast("array<string>")
+    step = F.get_json_object(body, "$.current_subtask")
+    rows = level(body, "", ANSWER_FIELDS, ("current_subtask",)) + level(step, "current_subtask.", STEP_FIELDS)
+    return F.flatten(F.array(*[F.coalesce(r, none) for r in rows]))
+
+
 def rewrite_in_batches(lines: DataFrame, call: Callable[[list[str]], list[str]], *, size: int = 32) -> DataFrame:
     """(id, line, rewritten): chunks of up to ``size`` lines; a chunk that comes back with another count is halved."""
 

@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from annolith.functions import pyfuncs
-from annolith.functions.scalar import collapse, half_even, skill_words
+from annolith.functions.scalar import casefold, collapse, half_even, skill_words
 
 SEMANTIC = ("subtask", "action", "object", "source", "target")
 GAP_S, SAME_START_S, CHUNK_S, WHOLE_S = 1e-4, 1e-6, 295.0, 300.0
@@ -27,13 +26,9 @@ def contiguity(steps: DataFrame, *, uid: str = "uid", pos: str = "pos", start: s
     return steps.withColumn("gap", gap).withColumn("contiguous", F.coalesce(F.abs("gap") <= tolerance, F.lit(True)))
 
 
-def folded_signature(fields: tuple[str, ...] = SEMANTIC, *, casefold: bool = False) -> Column:
-    """The semantic fields with white space collapsed and in lower case, as an array.
-
-    casefold uses Python's full folding (a pandas UDF), which differs from lower case for a few letters.
-    """
-    fold = (lambda c: pyfuncs.casefolded(F.coalesce(c, F.lit("")))) if casefold else (lambda c: F.lower(collapse(F.coalesce(c, F.lit("")))))
-    return F.array(*[fold(F.col(f)) for f in fields])
+def folded_signature(fields: tuple[str, ...] = SEMANTIC) -> Column:
+    """The semantic fields with white space collapsed and case folded, as an array."""
+    return F.array(*[casefold(collapse(F.coalesce(F.col(f), F.lit("")))) for f in fields])
 
 
 def islands(rows: DataFrame, signature: Column, *, uid: str = "uid", pos: str = "pos") -> DataFrame:

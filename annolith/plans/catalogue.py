@@ -198,7 +198,7 @@ def observation_intervals(spark, sf_dir):
 def observation_sample(spark, sf_dir):
     """Seeded with Python's generator, which SQL does not have."""
     out = ev.observations(ev.observation_intervals(_contacts(spark, sf_dir), lookback=600.0), count=3, seed=7)
-    return out.select("event_id", "eligible", F.array_join("sampled", ",").alias("sampled"), F.array_join("sampled_hash", ",").alias("sampled_hash"))
+    return out.select("event_id", "eligible", F.array_join("sampled", ",").alias("sampled"))
 
 
 # Lookups, sets and partitions

@@ -42,7 +42,7 @@ EVENT = "uid string,pos int,event_id string,t double,contact_frame int,fps doubl
 
 def test_sampling(spark):
     rows = [("u", 0, "a", 1.0, None, 30.0, 100, 0.0, 3.0, "1"), ("u", 1, "b", 1.5, 44, 30.0, 100, 0.0, 3.0, "1"), ("u", 2, "c", 1.5000001, None, 30.0, 100, 0.0, 3.0, "1"), ("u", 3, "d", 1.55, None, 30.0, 100, 0.0, 3.0, "1"), ("v", 0, "z", 0.0, None, 30.0, 100, 0.0, 3.0, "1")]
-    out = {r.event_id: r for r in events.observations(events.observation_intervals(spark.createDataFrame(rows, EVENT)), count=3, seed=7).collect()}
+    out = {r.event_id: r for r in events.observations(events.observation_intervals(spark.createDataFrame(rows, EVENT)), count=3, seed=7, hashed=True).collect()}
     assert (out["a"].first_frame, out["a"].last_frame) == (0, 29) and out["b"].first_frame == 31 and out["b"].last_frame == 43
     assert out["d"].previous_t == 1.5000001 and out["d"].eligible == 0 and out["d"].sampled == [] and out["z"].eligible == 0
     eligible = [f for f in range(31, 44) if f not in (30, 44, 45, 46)]
@@ -52,9 +52,9 @@ def test_sampling(spark):
 
 
 def test_seeded_sample():
-    assert pyfuncs.seeded([], 3, "x") == [] and pyfuncs.seeded([4, 2], 5, "x") == [2, 4] and pyfuncs.seeded([1], 0, "x") == []
-    a = pyfuncs.seeded(list(range(100)), 10, "[1]")
-    assert a == pyfuncs.seeded(list(range(100)), 10, "[1]") and len(set(a)) == 10 and a == sorted(a)
+    assert pyfuncs.seeded_ranks(0, 3, "x") == [] and pyfuncs.seeded_ranks(2, 5, "x") == [0, 1] and pyfuncs.seeded_ranks(1, 0, "x") == []
+    a = pyfuncs.seeded_ranks(100, 10, "[1]")
+    assert a == pyfuncs.seeded_ranks(100, 10, "[1]") and len(set(a)) == 10 and a == sorted(a)
 
 
 def test_remap(spark):

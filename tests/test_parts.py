@@ -35,8 +35,8 @@ def test_text(spark):
         ("If the task is complete", "If the task is complete"), ("The subtask is complete", "The subtask is complete"), ("The 'task' is complete", "The 'task' is complete"), ("Is the task is complete?", "Is the task is complete?"), ("", ""),
     ],
 )
-def test_completion(text, want):
-    assert pyfuncs.completion(text) == want
+def test_completion(spark, text, want):
+    assert spark.range(1).select(scalar.completion_suffix(F.lit(text))).first()[0] == want
 
 
 def test_canonical_json():

@@ -1,6 +1,9 @@
+import itertools
+
+import numpy as np
 from pyspark.sql import functions as F
 
-from annolith.functions import pyfuncs
+from annolith.functions import pyfuncs, scalar
 from annolith.operators import grids, timeline
 
 STEP = "uid string,pos int,subtask string,action string,object string,source string,target string,start_s double,end_s double"
@@ -21,10 +24,25 @@ def test_merge_collapses_white_space_and_case(spark):
     assert got == [("u", 1, " Pick  Up", 2.0, 2), ("u", 2, "put", 3.0, 1), ("v", 4, "x", 1.0, 1)]
 
 
-def test_casefold_differs_from_lower(spark):
+def test_merge_folds_case(spark):
     rows = steps(spark, ("u", 1, "Straße", 0.0, 1.0), ("u", 2, "STRASSE", 1.0, 2.0))
-    assert timeline.merge_adjacent(rows).count() == 2
-    assert timeline.merge_adjacent(rows, signature=timeline.folded_signature(casefold=True)).count() == 1
+    assert timeline.merge_adjacent(rows).count() == 1
+
+
+def test_casefold_is_unicodes(spark):
+    """Letters that fold alike in Python fold alike here, and no others, over the first planes' letters in turn."""
+    letters = [chr(k) for k in range(32, 0x2E80) if chr(k).isalpha()]
+    got = dict(spark.createDataFrame([(x, f"a{x}b") for x in letters], "x string, y string").select("x", scalar.casefold("y").alias("z")).collect())
+    fold = lambda pairs: sorted(sorted(xs) for xs in _groups(pairs).values())
+    here, there = fold([(x, got[x]) for x in letters]), fold([(x, f"a{x}b".casefold()) for x in letters])
+    assert [g for g in here if g not in there] == [] and scalar is not None
+
+
+def _groups(pairs):
+    found = {}
+    for x, key in pairs:
+        found.setdefault(key, []).append(x)
+    return found
 
 
 SEG = "uid string,pos int,start double,description string,skill string,has_video boolean,media_count int,duration double"
@@ -83,10 +101,26 @@ def test_empty_ranges(spark):
     assert (row.a, row.b, row.c) == ([], [], [0, 1])
 
 
-def test_history_and_bounded():
+def _bounded(first, last, important, maximum):
+    if last < first:
+        return []
+    if last - first < maximum:
+        return list(range(first, last + 1))
+    chosen = sorted({x for x in important if first <= x <= last})
+    have = set(chosen[:maximum]) | ({int(round(x)) for x in np.linspace(first, last, maximum - len(chosen))} if len(chosen) < maximum else set())
+    rest = (x for x in range(first, last + 1) if x not in have)
+    return sorted([*have, *itertools.islice(rest, maximum - len(have))])[:maximum]
+
+
+def test_bounded(spark):
+    cases = [(0, 9, [], 24), (3, 2, [], 4), (0, 100, [5, 6, 7, 400], 2), (0, 100, [50, 51], 10), (0, 47, [0, 47, 23], 24), (10, 95, [11, 12, 13], 5), (0, 30, [], 8), (7, 60, [8], 2), (0, 25, [1, 2, 3, 24, 25], 24), (0, 1000, [999, 3], 3)]
+    for maximum in {c[3] for c in cases}:
+        some = [c for c in cases if c[3] == maximum]
+        df = spark.createDataFrame([(k, *c[:3]) for k, c in enumerate(some)], "k int, a int, b int, i array<int>")
+        got = dict(df.select("k", grids.bounded(F.col("a"), F.col("b"), F.col("i"), maximum)).collect())
+        assert [got[k] for k in range(len(some))] == [_bounded(*c) for c in some]
+
+
+def test_history():
     assert pyfuncs.history(0, 30, 30.0) == [0, 6, 12, 18, 24, 30] and pyfuncs.history(4, 4, 30.0) == [4]
     assert pyfuncs.history(0, 10, 4.0) is None and pyfuncs.history(5, 3, 30.0) is None
-    assert pyfuncs.bounded(0, 9, [], 24) == list(range(10)) and pyfuncs.bounded(3, 2, [], 4) == []
-    assert pyfuncs.bounded(0, 100, [5, 6, 7, 400], 2) == [5, 6]
-    many = pyfuncs.bounded(0, 100, [50, 51], 10)
-    assert len(many) == 10 and {0, 50, 51, 100} <= set(many)
