@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -68,8 +66,8 @@ def slotted(rows: DataFrame, slots: int, *, cap: int | None = None, uid: str = "
 
 def even_pick(rows: DataFrame, count: int, *, order: str) -> DataFrame:
     """count rows evenly spaced over an ordered list of idle slots (a short list: one row for each worker)."""
-    n = F.count("*").over(W.partitionBy(F.lit(0)))
-    placed = rows.withColumn("_i", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(order)) - 1).withColumn("_n", n)
+    total = rows.agg(F.count("*").alias("_n"))
+    placed = numbered(rows, [order]).withColumnRenamed("row_index", "_i").join(F.broadcast(total))  # one row
     take = F.least(F.lit(count), F.col("_n"))
     # Row i is chosen if it is k * n div take for some k.
     k = F.ceil(F.col("_i") * take / F.col("_n"))
@@ -87,27 +85,46 @@ def remaining(assigned: DataFrame, available: DataFrame, completed: DataFrame, *
     return left.groupBy(slot).agg(F.count("*").alias("remaining"))
 
 
+def _turns(load: list[int], size: int, n: int) -> list[tuple[int, list[int]]]:
+    """(rows, owners in turn) by which n rows of one size go to the least loaded owner; load is brought up to date.
+
+    Owner k stands at (load, k) and moves on by ``size`` with each row.  The owners less than one size ahead of the
+    first take turns, round after round, until the next owner's place is reached; then that one joins them.
+    """
+    runs, every = [], range(len(load))
+    while n:
+        order = sorted(every, key=lambda k: (load[k], k))
+        first = order[0]
+        group = [k for k in order if size <= 0 and k == first or size > 0 and (load[k], k) < (load[first] + size, first)]
+        after = order[len(group)] if size > 0 and len(group) < len(order) else None
+        rounds = n if after is None else min(-(-(load[after] - load[k]) // size) + ((load[after] - load[k]) % size == 0 and k < after) for k in group)
+        count = min(n, rounds * len(group))
+        for k, owner in enumerate(group):
+            load[owner] += size * (count // len(group) + (k < count % len(group)))
+        runs.append((count, group))
+        n -= count
+    return runs
+
+
 def longest_first_split(rows: DataFrame, owners: list[str], *, uid: str = "uid", size: str = "size") -> DataFrame:
-    """Longest first to the least loaded owner, ties by the owners' order: sequential by nature.
+    """Longest first to the least loaded owner, ties by the owners' order: sequential by nature.  Sizes are whole numbers.
 
-    Sizes are dealt as a histogram of equal sizes, so the driver loops over distinct sizes and not over rows:
-    of a size's m rows in order of uid, the greedy rule's owners form a list that is made once per size.
+    The driver sees the histogram of sizes and makes, for each size, a few runs of owners that take turns (at most
+    about twice as many as there are owners, however many rows the size has); the rows find their place by number.
     """
-    sizes = rows.groupBy(size).count().orderBy(F.desc(size)).toLocalIterator()
-    heap = [(0, k) for k in range(len(owners))]
-    spark, dealt = rows.sparkSession, []
-    for value, n in sizes:
-        run: list[int] = []
-        for _ in range(n):
-            load, k = heapq.heappop(heap)
-            run.append(k)
-            heapq.heappush(heap, (load + value, k))
-        dealt.append((value, run))
-    schema = rows.select(size).schema.add("_owners", T.ArrayType(T.IntegerType()))
-    table = spark.createDataFrame(dealt, schema)
-    placed = rows.withColumn("_n", F.row_number().over(W.partitionBy(size).orderBy(uid)))
+    load, dealt = [0] * len(owners), []
+    for value, n in rows.groupBy(size).count().orderBy(F.desc(size)).toLocalIterator():
+        at = 0
+        for count, group in _turns(load, value, n):
+            dealt.append((value, at, at + count, group))
+            at += count
+    schema = rows.select(size).schema.add("_from", T.LongType()).add("_to", T.LongType()).add("_owners", T.ArrayType(T.IntegerType()))
+    runs = rows.sparkSession.createDataFrame(dealt, schema).groupBy(size).agg(F.collect_list(F.struct("_from", "_to", "_owners")).alias("_runs"))
+    placed = rows.withColumn("_n", F.row_number().over(W.partitionBy(size).orderBy(uid)) - 1).join(runs, size)
+    run = F.get(F.filter("_runs", lambda r: (F.col("_n") >= r["_from"]) & (F.col("_n") < r["_to"])), F.lit(0))
+    turn = ((F.col("_n") - F.col("_run._from")) % F.size("_run._owners")).cast("int")
     names = F.array(*[F.lit(o) for o in owners])
-    return placed.join(table, size).withColumn("owner", F.element_at(names, F.element_at("_owners", F.col("_n")) + 1)).drop("_n", "_owners")
+    return placed.withColumn("_run", run).withColumn("owner", F.get(names, F.get("_run._owners", turn))).drop("_n", "_runs", "_run")
 
 
 def cover_errors(parts: DataFrame, source: DataFrame, *, uid: str = "uid") -> DataFrame:

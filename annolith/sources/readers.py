@@ -19,8 +19,8 @@ SOURCE = (
     f"struct<schema_version:string,uid:string,source_key:string,split:string,task_name:string,dialogue:struct<turns:array<struct<role:string,content:string>>>,"
     f"media:struct<layout:string,items:array<{ITEM}>>,provenance:struct<source_record_uid:string,source_locator:string>>"
 )
-#: Fixed value: the marker file's schema id of a physical dataset.
-RELEASE_FILES = ("RELEASE.json", "shards")
+#: The marker file's schema id of a physical dataset, and the name's ending of one beside its release.
+RELEASE_SCHEMA, PHYSICAL_SUFFIX = "cosmos3_video_physical_webdataset_v1", "-physical-webdataset"
 
 
 def json_lines(spark: SparkSession, path: str, schema: str, *, recursive: bool = False) -> DataFrame:
@@ -37,12 +37,25 @@ def json_lines(spark: SparkSession, path: str, schema: str, *, recursive: bool =
 
 
 def complete_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, raw, partial_bytes): lines up to each file's last newline; what follows is only counted."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    text = F.decode("content", "UTF-8")
-    parts = F.split(text, "\n", -1)
-    rows = files.select(F.col("path").alias("file"), F.octet_length(F.element_at(parts, -1)).alias("partial_bytes"), F.posexplode_outer(F.slice(parts, F.lit(1), F.size(parts) - 1)).alias("_i", "raw"))
-    return rows.select("file", (F.col("_i") + 1).alias("line"), F.rtrim(F.regexp_replace("raw", "\r$", "")).alias("raw"), "partial_bytes")
+    """(file, line, raw, partial_bytes): lines up to each file's last newline; what follows is only counted.
+
+    Files are read as split text: a file whose lines, each with a newline, are one byte longer than the file ends in a
+    partial line.  A file that holds nothing else gives one row with neither line nor raw.
+    """
+    rows = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("_size"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("raw"))
+    whole = rows.groupBy("file").agg(F.sum(F.octet_length("raw") + 1).alias("_sum"), F.max(F.struct("_block", "_id", F.octet_length("raw").alias("n"))).alias("_last"))
+    both = rows.join(whole, "file").withColumn("_open", F.col("_sum") == F.col("_size") + 1)
+    last = F.col("_open") & (F.struct("_block", "_id") == F.struct("_last._block", "_last._id"))
+    numbered = both.withColumn("line", F.row_number().over(W.partitionBy("file").orderBy("_block", "_id")))
+    kept = numbered.where(~last | (F.col("line") == 1))
+    return kept.select("file", F.when(~last, F.col("line")).alias("line"), F.when(~last, F.rtrim(F.regexp_replace("raw", "\r$", ""))).alias("raw"), F.when(F.col("_open"), F.col("_last.n")).otherwise(0).alias("partial_bytes"))
+
+
+def repaired_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(whole lines, files with an unterminated last line and its bytes): the tail goes to quarantine, nothing is cut in place."""
+    rows = complete_lines(spark, path)
+    return rows.where("line IS NOT NULL"), rows.where("partial_bytes > 0").select("file", "partial_bytes").distinct()
 
 
 def manifest(spark: SparkSession, path: str, *, sources: list[str] | None = None) -> DataFrame:
@@ -81,7 +94,8 @@ def catalog(spark: SparkSession, root: str, *, sources: list[str] | None = None)
 
     Pairing by row group becomes an equi-join on shard and member; the source filter reaches the scan.
     """
-    samples, members = spark.read.parquet(f"{root}/samples.parquet"), spark.read.parquet(f"{root}/members.parquet")
+    folder = f"{root}/catalog" if _there(spark, f"{root}/catalog") else root
+    samples, members = spark.read.parquet(f"{folder}/samples.parquet"), spark.read.parquet(f"{folder}/members.parquet")
     if sources:
         samples = samples.where(F.col("source_key").isin(*sources))
     views = F.from_json("video_members_json", "map<string,string>")
@@ -116,64 +130,151 @@ def temporal_index(index: DataFrame, temporal: DataFrame, *, sources: list[str]
     return out.where(F.col("source_key").isin(*sources)) if sources else out
 
 
-def ranged_bytes(rows: DataFrame, read, *, path: str = "path", offset: str = "offset", length: str = "length", key: str = "uid") -> DataFrame:
-    """(key, content, error) by ``read(path, offset, length)``, called on the executors; short reads are errors.
+def ranged_bytes(rows: DataFrame, read, *, path: str = "path", offset: str = "offset", length: str = "length", key: str = "uid", attempts: int = 3, backoff: float = 0.5) -> DataFrame:
+    """(key, content, attempts, error) by ``read(path, offset, length)``, called on the executors; offset and length may be null (the whole object).
 
-    Payloads go straight to the next step of the same task and are never shuffled by this function.
+    A failed or short read is tried again after a wait that doubles.  Payloads go straight to the next step of the same
+    task and are never shuffled by this function.
     """
+    import time
+
     import pandas as pd
 
+    def one(p, o, n):
+        error = None
+        for turn in range(attempts):
+            if turn:
+                time.sleep(backoff * 2 ** (turn - 1))
+            try:
+                got = read(p, None if pd.isna(o) else int(o), None if pd.isna(n) else int(n))
+            except Exception as e:  # the store's own failures are data
+                error = type(e).__name__
+                continue
+            if got and (pd.isna(n) or len(got) == int(n)):
+                return got, turn + 1, None
+            error = "short_read" if got is not None else "not_found"
+        return None, attempts, error
+
     def run(parts):
         for pdf in parts:
-            content, errors = [], []
-            for p, o, n in zip(pdf["path"], pdf["offset"], pdf["length"], strict=True):
-                got = read(p, int(o), int(n))
-                short = got is None or len(got) != int(n)
-                content.append(None if short else got)
-                errors.append("short_read" if short else None)
-            yield pd.DataFrame({"key": pdf["key"], "content": content, "error": errors})
+            got = [one(p, o, n) for p, o, n in zip(pdf["path"], pdf["offset"], pdf["length"], strict=True)]
+            yield pd.DataFrame({"key": pdf["key"], "content": [g[0] for g in got], "attempts": [g[1] for g in got], "error": [g[2] for g in got]})
 
     chosen = rows.select(F.col(key).cast("string").alias("key"), F.col(path).alias("path"), F.col(offset).alias("offset"), F.col(length).alias("length"))
-    return chosen.mapInPandas(run, "key string, content binary, error string")
+    return chosen.mapInPandas(run, "key string, content binary, attempts int, error string")
+
 
+def objects(rows: DataFrame, read, **options) -> DataFrame:
+    """Whole objects by path, each read once however many rows name it; an empty object is an error."""
+    whole = rows.select(F.col("path").alias("uid"), "path").distinct().select("uid", "path", F.lit(None).cast("bigint").alias("offset"), F.lit(None).cast("bigint").alias("length"))
+    return ranged_bytes(whole, read, **options).withColumnRenamed("key", "path")
 
-def tar_records(spark: SparkSession, path: str, *, kinds: tuple[str, ...] = ("video", "frame")) -> DataFrame:
+
+def gathered_media(items: DataFrame, *, uid: str = "uid") -> DataFrame:
+    """Readable items (pos, mime_type, content) of each record in order; error where none of them can be read."""
+    good = F.col("content").isNotNull()
+    rows = items.groupBy(uid).agg(F.array_sort(F.collect_list(F.when(good, F.struct("pos", "mime_type", "content")))).alias("media"), F.count("*").alias("items"))
+    return rows.withColumn("error", F.when(F.size("media") == 0, "no_readable_media"))
+
+
+def _open_file(path: str):
+    """A seekable reader of a path on any file system that Arrow knows."""
+    from pyarrow import fs
+
+    system, inside = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inside)
+
+
+def tar_records(spark: SparkSession, path: str, *, kinds: tuple[str, ...] = ("video", "frame"), open_file=_open_file) -> DataFrame:
     """Records of WebDataset tars: tar, record (JSON), members (name, offset, length) listed by it, in order.
 
-    One tar is one task's work; headers are read from the file's bytes as Spark's binary reader gives them.
+    A listing names the tars; each is read by one task from header to header, so that its media are skipped and a tar of
+    any size takes the memory of one record.  ``open_file`` reads a path on the executors.
     """
-    import io
     import json
     import tarfile
 
     import pandas as pd
 
+    def records_of(tar: str):
+        with open_file(tar) as stream, tarfile.open(fileobj=stream, mode="r:") as archive:
+            open_, listed = None, set()
+            for member in archive:
+                if member.name.endswith(".json"):
+                    if open_:
+                        yield open_
+                    raw = archive.extractfile(member).read().decode()
+                    items = (json.loads(raw).get("media") or {}).get("items") or []
+                    wanted = any(str(i.get("type") or "").lower() in kinds for i in items)
+                    listed = {str(i["member"]) for i in items if i.get("member")}
+                    open_ = (tar, raw, []) if wanted else None
+                elif open_ is not None and member.name in listed:
+                    open_[2].append({"member": member.name, "offset": member.offset_data, "length": member.size})
+                archive.members = []  # tarfile would keep every header
+            if open_:
+                yield open_
+
     def run(parts):
+        columns = ["tar", "record", "members"]
         for pdf in parts:
-            rows = []
-            for tar, content in zip(pdf["path"], pdf["content"], strict=True):
-                with tarfile.open(fileobj=io.BytesIO(content), mode="r:") as archive:
-                    open_, listed = None, set()
-                    for member in archive:
-                        if member.name.endswith(".json"):
-                            raw = archive.extractfile(member).read().decode()
-                            items = (json.loads(raw).get("media") or {}).get("items") or []
-                            wanted = any(str(i.get("type") or "").lower() in kinds for i in items)
-                            listed = {str(i["member"]) for i in items if i.get("member")}
-                            open_ = {"tar": tar, "record": raw, "members": []} if wanted else None
-                            if wanted:
-                                rows.append(open_)
-                        elif open_ is not None and member.name in listed:
-                            open_["members"].append({"member": member.name, "offset": member.offset_data, "length": member.size})
-            yield pd.DataFrame(rows, columns=["tar", "record", "members"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tar").load(path).select("path", "content")
-    return files.mapInPandas(run, "tar string, record string, members array<struct<member:string,offset:bigint,length:bigint>>")
-
-
-def load(spark: SparkSession, path: str, kind: str, **options) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """The reader of a kind of input: 'manifest', 'catalog', 'videos', 'tar' or 'uids'."""
-    readers = {"manifest": manifest, "catalog": catalog, "videos": videos, "tar": tar_records, "uids": uid_list}
+            for tar in pdf["path"]:
+                rows = []
+                for row in records_of(tar):
+                    rows.append(row)
+                    if len(rows) == 256:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+                yield pd.DataFrame(rows, columns=columns)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tar").load(path).select("path")
+    return files.repartition("path").mapInPandas(run, "tar string, record string, members array<struct<member:string,offset:bigint,length:bigint>>")
+
+
+def _there(spark: SparkSession, path: str, form: str = "binaryFile") -> bool:
+    """Whether a path can be listed; only a missing path counts as an answer, other errors are raised."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format(form).load(path).select("path").limit(1).count()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
+    return True
+
+
+def physical_root(spark: SparkSession, path: str) -> str | None:
+    """The physical dataset at a path, or beside it: a marker file of the right schema, both catalogs and shards."""
+    for root in (path.rstrip("/"), path.rstrip("/") + PHYSICAL_SUFFIX):
+        parts = (f"{root}/RELEASE.json", f"{root}/catalog/samples.parquet", f"{root}/catalog/members.parquet", f"{root}/shards")
+        if all(_there(spark, p) for p in parts):
+            marker = spark.read.option("wholetext", "true").text(parts[0])
+            if marker.where(F.get_json_object("value", "$.schema") == RELEASE_SCHEMA).limit(1).count():
+                return root
+    return None
+
+
+def input_kind(spark: SparkSession, path: str) -> str:
+    """'video', 'manifest', 'catalog' (a physical dataset), 'tar' (a folder with an index) or 'videos'; ValueError for anything else."""
+    import re
+
+    if re.search(VIDEO_SUFFIX, path) and _there(spark, path):
+        return "video"
+    if path.lower().endswith(".jsonl") and _there(spark, path):
+        return "manifest"
+    if not _there(spark, path):
+        raise ValueError(f"unsupported_input:{path}")
+    if physical_root(spark, path):
+        return "catalog"
+    return "tar" if _there(spark, f"{path.rstrip('/')}/TAR_INDEX.jsonl") else "videos"
+
+
+def load(spark: SparkSession, path: str, kind: str | None = None, **options) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """The reader of a kind of input: 'manifest', 'catalog', 'video(s)', 'tar' or 'uids'; without a kind, by what the path holds."""
+    readers = {"manifest": manifest, "catalog": catalog, "video": videos, "videos": videos, "tar": tar_records, "uids": uid_list}
+    if kind is None:
+        kind = input_kind(spark, path)
+        path = physical_root(spark, path) if kind == "catalog" else path
     if kind not in readers:
         raise ValueError(f"no reader for {kind!r}")
     return readers[kind](spark, path, **options)

@@ -1,14 +1,18 @@
 """Sets, lookups, points, inventories, scalars, sources, sinks and streams."""
 
+import hashlib
+import heapq
 import json
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from annolith.functions import pyfuncs, scalar
 from annolith.operators import inventory, lookup, points, provider, rates, sets
-from annolith.sources import readers, sinks
-from annolith.streaming import follow
+from annolith.sources import outbox, readers, sinks
+from annolith.streaming import control, follow
 
 
 def test_rounding(spark):
@@ -212,3 +216,142 @@ def test_streams(spark, tmp_path):
     query = follow.sticky_backoff(stream, 3, 5.0).writeStream.format("memory").queryName("sticky").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted((r.t, r.conservative) for r in spark.table("sticky").collect()) == [(0.0, False), (1.0, False), (2.0, True), (100.0, True)]
+
+
+def test_turns_are_the_greedy_rule():
+    for seed in range(500):
+        r = random.Random(seed)
+        load = [r.randint(0, r.choice([3, 500])) for _ in range(r.randint(1, 6))]
+        size, n = r.randint(0, 9), r.randint(0, 400)
+        heap, want, got = [(x, k) for k, x in enumerate(load)], [], []
+        heapq.heapify(heap)
+        for _ in range(n):
+            at, k = heapq.heappop(heap)
+            want.append(k)
+            heapq.heappush(heap, (at + size, k))
+        runs = sets._turns(load, size, n)
+        for count, group in runs:
+            got += [group[k % len(group)] for k in range(count)]
+        assert got == want and sorted(heap) == sorted((x, k) for k, x in enumerate(load)) and len(runs) <= 2 * len(load) + 1
+
+
+def test_dispatch(spark, tmp_path):
+    folder = tmp_path / "clips"
+    folder.mkdir()
+    (folder / "a.mp4").write_bytes(b"x")
+    assert readers.input_kind(spark, str(folder)) == "videos" and readers.input_kind(spark, str(folder / "a.mp4")) == "video"
+    assert readers.load(spark, str(folder)).count() == readers.load(spark, str(folder / "a.mp4")).count() == 1
+    (folder / "TAR_INDEX.jsonl").write_text("{}")
+    assert readers.input_kind(spark, str(folder)) == "tar"
+    (tmp_path / "m.jsonl").write_text('{"uid":"a","video_path":"v.mp4"}')
+    assert readers.load(spark, str(tmp_path / "m.jsonl")).first().uid == "a"
+    with pytest.raises(ValueError):
+        readers.input_kind(spark, str(tmp_path / "nothing"))
+    root = tmp_path / f"release{readers.PHYSICAL_SUFFIX}"
+    (tmp_path / "release").mkdir()
+    spark.createDataFrame([("k", "r", "s", "n", None, '{"ego":"k.mp4"}', "train-000001.tar", 1)], "key string,record_uid string,source_key string,task_name string,task_description string,video_members_json string,shard string,target_duration_ns bigint").write.parquet(f"{root}/catalog/samples.parquet")
+    spark.createDataFrame([("train-000001.tar", "k.mp4", 512, 9)], "shard string,member string,data_offset bigint,length bigint").write.parquet(f"{root}/catalog/members.parquet")
+    (root / "shards").mkdir()
+    (root / "RELEASE.json").write_text('{"schema": "other"}')
+    assert readers.input_kind(spark, str(tmp_path / "release")) == "videos"
+    (root / "RELEASE.json").write_text('{"schema": "%s"}' % readers.RELEASE_SCHEMA)
+    assert readers.input_kind(spark, str(tmp_path / "release")) == "catalog"
+    assert readers.load(spark, str(tmp_path / "release"))[0].first().uid == "r"
+
+
+def test_complete_lines_of_odd_files(spark, tmp_path):
+    for name, data in (("a", b"x\n\ny\n"), ("b", b"only"), ("c", "é\r\nü".encode())):
+        (tmp_path / f"{name}.txt").write_bytes(data)
+    got = {}
+    for r in readers.complete_lines(spark, str(tmp_path)).collect():
+        got.setdefault(r.file[-5], []).append((r.line, r.raw, r.partial_bytes))
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {"a": [(1, "x", 0), (2, "", 0), (3, "y", 0)], "b": [(None, None, 4)], "c": [(1, "é", 2)]}
+    assert readers.repaired_lines(spark, str(tmp_path))[1].count() == 2
+
+
+def test_reads_are_tried_again(spark):
+    def read(path, offset, length):
+        n = int(open(path).read() or 0) if os.path.exists(path) else 0
+        with open(path, "w") as f:
+            f.write(str(n + 1))
+        if n == 0:
+            raise TimeoutError
+        return b"abc"
+
+    path = f"/tmp/annolith-tries-{os.getpid()}"
+    rows = spark.createDataFrame([(path,), (path,)], "path string")
+    got = readers.objects(rows, read, backoff=0.01).collect()
+    os.remove(path)
+    assert [(bytes(r.content), r.attempts, r.error) for r in got] == [(b"abc", 2, None)]
+
+
+def test_outbox(spark, tmp_path):
+    held = spark.createDataFrame([("p0", "old")], "path string, value string").selectExpr("path", "value", "sha2(value, 256) AS sha256", "octet_length(value) AS bytes")
+    rows = spark.createDataFrame([("p0", "new"), ("p1", "a"), ("p1", "a"), ("p2", "bcd")], "path string, value string")
+    fresh, bad = outbox.enqueue(held, rows)
+    assert sorted(r.path for r in fresh.collect()) == ["p1", "p2"] and [r.path for r in bad.collect()] == ["p0"]
+    assert outbox.totals(fresh).first() == (2, 4) and outbox.totals(fresh.where("false")).first() == (0, 0)
+    queue = fresh.withColumn("lane", F.lit("l"))
+    assert {r.path: r.admitted for r in outbox.admitted(queue, files=5, size=3).collect()} == {"p1": True, "p2": False}
+    fresh.write.parquet(str(tmp_path / "outbox"))
+    for _ in range(2):
+        stream = spark.readStream.schema(fresh.schema).parquet(str(tmp_path / "outbox"))
+        outbox.publish_stream(stream, str(tmp_path / "target"), str(tmp_path / "ledger"), str(tmp_path / "check")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "target")).count() == 2 and outbox.pending(fresh, spark.read.parquet(str(tmp_path / "ledger"))).count() == 0
+
+
+def test_packs_and_rewrites(spark):
+    lines = spark.createDataFrame([(f"u{k}", "t", "s", "b", f"v{k}") for k in range(50)], "uid string, task string, source_key string, batch string, value string")
+    one = outbox.packs(lines, size=10)
+    two = outbox.packs(lines.orderBy(F.desc("uid")), size=10)
+    assert one.select("pack").distinct().count() > 3 and one.exceptAll(two.select(one.columns)).count() == 0
+    found, lost = outbox.expanded_packs(one, spark.createDataFrame([("u1",), ("zz",)], "uid string"))
+    assert found.first().value == "v1" and lost.first().uid == "zz"
+    shard = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), ("c", 1, "q")], "shard string, line int, value string")
+    before = outbox.shard_digest(shard)
+    changed = shard.withColumn("value", F.when(F.col("shard") == "c", "r").otherwise(F.col("value")))
+    good, refused = outbox.audited_rewrite(changed, changed.where("NOT (shard = 'b')").select("shard", "line"), before)
+    assert {r.shard for r in good.collect()} == {"a"} and {r.shard: r.reason for r in refused.collect()} == {"b": "unreviewed_lines", "c": "input_changed"}
+    rows, seen = outbox.observed(shard, "figures", n=F.count("*"))
+    rows.collect()
+    assert seen.get["n"] == 4
+
+
+def test_rejections(spark):
+    rows = spark.createDataFrame([("u", "grd", "dashscope", "m", "c", "bad"), ("u", "sta", "dashscope", "m", "c", "bad")], "uid string, task string, provider string, model string, contract_id string, reason string")
+    saved = outbox.rejections(rows)
+    want = hashlib.sha256(json.dumps({"uid": "u", "task": "grd", "provider": "dashscope", "model": "m", "contract_id": "c"}, sort_keys=True).encode()).hexdigest()
+    assert [r.identity for r in saved.collect()] == [want] and outbox.not_rejected(rows, saved).first().task == "sta"
+
+
+def test_circuit_and_pace(spark, tmp_path):
+    c = control.Circuit()
+    for t in range(3):
+        c = control.after_outcome(c, t, 0, False, "service_error", threshold=3, cooldown=10)
+    assert c.mode == "open" and c.generation == 1 and c.until == 12
+    assert control.after_outcome(c, 3, 0, False, "success").stale == 1 and control.admitted(c, 11).mode == "open"
+    half = control.admitted(c, 12)
+    assert half.mode == "half_open" and control.after_outcome(half, 13, 1, True, "success").mode == "closed" and control.after_outcome(half, 13, 1, True, "other").until == 73
+    assert control.after_outcome(control.Circuit(), 5, 9, False, "service_error", 100).until == 105
+    p = control.Cohort(1.0, 0.0)
+    for t in range(9):
+        p = control.after_response(p, 2.0 * t, 0.0, t == 3, floor=0.1, ceiling=9)
+    assert p.interval == 1.25 and p.decisions == 1 and control.after_response(p, 99, 1.0, True, floor=0.1, ceiling=9).stale == p.stale + 1
+    rows = spark.createDataFrame([("k", float(t), 0, False, "service_error", 0.0) for t in range(4)], "key string, t double, generation int, probe boolean, result string, retry_after double")
+    rows.coalesce(1).write.parquet(str(tmp_path / "o"))
+    stream = control.circuit_states(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "o")), threshold=3)
+    query = stream.writeStream.format("memory").queryName("circuits").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
+    query.awaitTermination()
+    got = spark.table("circuits").orderBy("t").collect()
+    assert [r["mode"] for r in got] == ["closed", "closed", "open", "open"] and got[3].stale == 1
+
+
+def test_answers(spark):
+    texts = ['```json\n[{"a": 1}]\n```', '{"subtasks": [], "steps": [{"a": 2}]}', '[]', '[1]', 'x', '{"subtasks": [{"b": 1}, {"c": 2}]}', None]
+    got = [r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, raw string").orderBy("k").select(provider.fenced_steps("raw")).collect()]
+    assert [None if g is None else [json.loads(x) for x in g] for g in got] == [[{"a": 1}], [{"a": 2}], None, None, None, [{"b": 1}, {"c": 2}], None]
+    good = {"scene_description": "s", "task_progress": "p", "atomic_action": "a", "current_subtask": dict.fromkeys(("subtask", "action", "object", "source", "target"), "x")}
+    answers = [good, good | {"more": 1}, good | {"atomic_action": "x" * 241}, good | {"task_progress": 5}, good | {"current_subtask": {"subtask": ""}}]
+    rows = spark.createDataFrame([(k, json.dumps(a)) for k, a in enumerate(answers)], "k int, a string").orderBy("k").select(provider.schema_errors("a")).collect()
+    assert [r[0] for r in rows] == [[], ["additional:more"], ["atomic_action"], ["task_progress"], [f"current_subtask.{f}" for f in ("subtask", "action", "object", "source", "target")]]
+    assert provider.response_schema()["schema"]["properties"]["current_subtask"]["properties"]["target"] == {"type": "string", "minLength": 1, "maxLength": 160}
