@@ -6,8 +6,6 @@ its whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,23 +14,7 @@ from annolith.functions import pyfuncs, scalar
 from annolith.operators import events as ev
 from annolith.operators import contracts, grids, inventory, lookup, points, provider, rates, records, reuse, sets, timeline
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
+from .registry import ORACLES, QUERIES, query, table
 
 def seconds(c: str = "ts") -> Column:
     return (F.unix_micros(F.col(c).cast("timestamp")) - 1704067200000000) / 1e6
