@@ -32,6 +32,11 @@ def json_lines(spark: SparkSession, path: str, schema: str, *, recursive: bool =
     rows = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(path)
     rows = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("raw"))
     lines = rows.withColumn("line", F.row_number().over(W.partitionBy("file").orderBy("_block", "_id"))).where(F.trim("raw") != "")
+    return parsed_lines(lines, schema)
+
+
+def parsed_lines(lines: DataFrame, schema: str) -> DataFrame:
+    """Lines (file, line, raw) with record, parsed by an explicit schema, and corrupt for what is no JSON object."""
     parsed = lines.withColumn("record", F.from_json("raw", schema))
     return parsed.select("file", "line", "raw", "record", (F.try_parse_json("raw").isNull() | ~F.ltrim("raw").startswith("{")).alias("corrupt"))
 
@@ -59,12 +64,17 @@ def repaired_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 
 
 def manifest(spark: SparkSession, path: str, *, sources: list[str] | None = None) -> DataFrame:
-    """Source records of a video manifest, in the order of its lines.
+    """Source records of a video manifest; see ``manifest_records``."""
+    return manifest_records(json_lines(spark, path, MANIFEST), sources=sources)
+
+
+def manifest_records(lines: DataFrame, *, sources: list[str] | None = None) -> DataFrame:
+    """Source records of a manifest's parsed lines, in their order.
 
     The source filter compares the raw key, so a row without one never meets its own default.  error is
     'invalid_json', 'uid_missing' or 'duplicate_uid'; a caller that wants failures to be fatal counts them.
     """
-    rows = json_lines(spark, path, MANIFEST).select("file", "line", "raw", "corrupt", "record.*")
+    rows = lines.select("file", "line", "raw", "corrupt", "record.*")
     if sources:
         rows = rows.where(F.col("corrupt") | F.col("source_key").isin(*sources))
     uid = F.trim(F.coalesce(F.nullif("uid", F.lit("")), "record_uid"))
@@ -95,7 +105,11 @@ def catalog(spark: SparkSession, root: str, *, sources: list[str] | None = None)
     Pairing by row group becomes an equi-join on shard and member; the source filter reaches the scan.
     """
     folder = f"{root}/catalog" if _there(spark, f"{root}/catalog") else root
-    samples, members = spark.read.parquet(f"{folder}/samples.parquet"), spark.read.parquet(f"{folder}/members.parquet")
+    return catalog_records(spark.read.parquet(f"{folder}/samples.parquet"), spark.read.parquet(f"{folder}/members.parquet"), root, sources=sources)
+
+
+def catalog_records(samples: DataFrame, members: DataFrame, root: str, *, sources: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The same of the two catalogs as tables."""
     if sources:
         samples = samples.where(F.col("source_key").isin(*sources))
     views = F.from_json("video_members_json", "map<string,string>")
