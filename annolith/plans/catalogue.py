@@ -300,15 +300,6 @@ def stage_audit(spark, sf_dir):
     return records.audit_summary(rows, expected=1000).select("figure", "key", "n")
 
 
-@query("""WITH f AS (SELECT l_returnflag, unnest([x FOR x IN [CASE WHEN l_quantity < 5 THEN 'small_quantity' END, CASE WHEN l_discount NOT BETWEEN 0 AND 0.05 THEN 'high_discount' END, CASE WHEN l_tax > l_discount THEN 'tax_over_discount' END, CASE WHEN l_extendedprice <= 0 THEN 'no_price' END] IF x IS NOT NULL]) AS failure FROM lineitem)
-SELECT l_returnflag, failure, count(*) AS n FROM f GROUP BY ALL""")
-def contract_failures(spark, sf_dir):
-    l = table(spark, sf_dir, "lineitem")
-    checks = (("small_quantity", F.col("l_quantity") < 5), ("high_discount", ~F.col("l_discount").between(0, 0.05)), ("tax_over_discount", F.col("l_tax") > F.col("l_discount")), ("no_price", F.col("l_extendedprice") <= 0))
-    found = l.select("l_returnflag", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks]))).alias("failure"))
-    return found.groupBy("l_returnflag", "failure").agg(F.count("*").alias("n"))
-
-
 # Rates
 
 
@@ -342,11 +333,6 @@ def durable_rate(spark, sf_dir):
 # Text and scalars
 
 
-@query("SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events")
-def json_extract(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
-
-
 @query()
 def first_json_object(spark, sf_dir):
     """Fenced and trailing text around the object, which SQL's JSON functions reject."""
@@ -474,12 +460,6 @@ def conversation_records(spark, sf_dir):
     return out.select("conv_id", F.array_join(F.transform("turns", lambda t: F.concat_ws(":", t["role"], t["chars"])), ";").alias("turns"), "n")
 
 
-@query("SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, length(html) AS n_chars FROM pages WHERE url LIKE 'https%' AND html LIKE '%<article%'")
-def html_pages_scan(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").where(F.col("url").startswith("https") & F.col("html").contains("<article"))
-    return p.select("page_id", F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1).alias("host"), F.length("html").cast("bigint").alias("n_chars"))
-
-
 @query("""WITH c AS (SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS t FROM conversations GROUP BY conv_id) SELECT conv_id, sha256(CASE WHEN length(t) > 12000 THEN right(t, 12000) ELSE t END) AS text_sha256 FROM c""")
 def task_text(spark, sf_dir):
     none = F.lit(None).cast("string")
@@ -556,14 +536,12 @@ def located_records(spark, sf_dir):
     return reuse.located(sources, stored)
 
 
-@query(f"""WITH {PAIRS}, o AS (SELECT uid, event_id, pair_index, o, count(*) OVER (PARTITION BY uid, event_id) AS k FROM pp) SELECT uid, event_id, CAST(min(k) AS INTEGER) AS object_points, '{{"object": [' || string_agg(printf('[%.2f, %.2f]', o[1] / 1000, o[2] / 1000), ', ' ORDER BY 'O' || pair_index, o[1], o[2]) || ']}}' AS answer_text FROM (SELECT * FROM o WHERE o[1] % 10 <> 5 AND o[2] % 10 <> 5) GROUP BY uid, event_id HAVING min(k) = count(*)""")
+@query(f"""WITH {PAIRS}, o AS (SELECT uid, event_id, pair_index, [((x + 5) // 10) / 100 FOR x IN o] AS xy FROM pp) SELECT uid, event_id, CAST(count(*) AS INTEGER) AS object_points, '{{"object": [' || string_agg(printf('[%.2f, %.2f]', xy[1], xy[2]), ', ' ORDER BY 'O' || pair_index, xy[1], xy[2]) || ']}}' AS answer_text FROM o GROUP BY uid, event_id""")
 def coordinate_questions(spark, sf_dir):
-    """Answers in two decimals, for events none of whose coordinates lies halfway between two."""
+    """Answers in two decimals; a coordinate halfway between two of them goes up."""
     rows = points.point_rows(_point_pairs(spark, sf_dir)).where("role = 'contacted_object'")
-    rows = rows.withColumn("_half", F.exists("xy", lambda v: v % 10 == 5)).withColumn("raw_xy", F.col("xy")).withColumn("xy", F.transform("xy", lambda v: v / 1000)).withColumn("role", F.lit("object")).withColumn("query_frame", F.lit(1)).withColumn("contact_frame", F.lit(2))
-    halves = rows.where("_half").select("uid", "event_id").distinct()
-    made = points.questions(rows.join(halves, ["uid", "event_id"], "left_anti"))
-    return made.select("uid", "event_id", "object_points", "answer_text")
+    rows = rows.withColumn("raw_xy", F.col("xy")).withColumn("xy", F.transform("xy", lambda v: v / 1000)).withColumn("role", F.lit("object")).withColumn("query_frame", F.lit(1)).withColumn("contact_frame", F.lit(2))
+    return points.questions(rows).select("uid", "event_id", "object_points", "answer_text")
 
 
 @query("WITH r AS (SELECT event_id, user_id % 50 AS p, event_type AS t FROM events), c AS (SELECT DISTINCT p, t FROM r WHERE p % 3 = 0) SELECT event_id, CASE WHEN c.p IS NOT NULL THEN t || '/' || r.p END AS raw, CASE WHEN c.p IS NULL THEN 'not_recorded' END AS error FROM r LEFT JOIN c USING (p, t)")
@@ -575,12 +553,17 @@ def replayed_answers(spark, sf_dir):
     return provider.replayed(asked, recorded).select("event_id", "raw", "error")
 
 
-@query("""WITH b AS (SELECT p_partkey, p_brand AS uid, p_partkey % 500 AS frame, p_name AS name, p_type AS color FROM part), n AS (SELECT *, count(*) OVER (PARTITION BY uid, frame) AS k FROM b) SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE name END AS chosen, CASE WHEN p_partkey % 3 = 0 THEN 'not_in_inventory' END AS error FROM n WHERE k = 1""")
+TOKENS = "regexp_extract_all({}, '[a-z0-9]+')"
+SAID = "CASE frame % 5 WHEN 0 THEN ' ' || upper(name) WHEN 1 THEN split_part(name, ' ', 2) WHEN 2 THEN 'the ' || name || ' here' WHEN 3 THEN 'zzz qqq' ELSE ' None' END"
+
+
+@query(f"""WITH o AS (SELECT p_brand AS uid, p_partkey % 200 AS frame, p_name AS name, lower(p_type) AS color FROM part), r AS (SELECT uid, frame, {SAID} AS reported FROM (SELECT uid, frame, min(name) AS name FROM o GROUP BY ALL)), s AS (SELECT *, lower(trim(reported)) AS said, {TOKENS.format("lower(trim(reported))")} AS t FROM r),
+l AS (SELECT s.uid, s.frame, said, t, name, unnest([name, color || ' ' || name]) AS label FROM s JOIN o USING (uid, frame)), k AS (SELECT *, {TOKENS.format("lower(label)")} AS lt FROM l),
+c AS (SELECT uid, frame, name, lower(trim(name)) = said AS same, CASE WHEN contains(array_to_string(t, ' '), array_to_string(lt, ' ')) OR contains(array_to_string(lt, ' '), array_to_string(t, ' ')) THEN len(list_intersect(lt, t)) * 1000 + len(lt) END AS score FROM k),
+b AS (SELECT uid, frame, count(DISTINCT name) FILTER (same) AS sames, min(name) FILTER (same) AS one, max(score) AS top FROM c GROUP BY ALL), n AS (SELECT c.uid, c.frame, count(DISTINCT name) AS loose, min(name) AS name FROM c JOIN b ON b.uid = c.uid AND b.frame = c.frame AND c.score = b.top GROUP BY ALL)
+SELECT s.uid, s.frame, CASE WHEN said = 'none' THEN NULL WHEN sames = 1 THEN one WHEN sames = 0 AND loose = 1 THEN n.name END AS chosen, CASE WHEN said <> 'none' AND NOT coalesce(sames = 1 OR (sames = 0 AND loose = 1), false) THEN 'not_in_inventory' END AS error FROM s JOIN b USING (uid, frame) LEFT JOIN n USING (uid, frame)""")
 def first_object(spark, sf_dir):
-    """One object a frame: its name in other letters is found, a foreign name is not."""
-    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("uid"), (F.col("p_partkey") % 500).alias("frame"), F.col("p_name").alias("name"), F.lit("").alias("alternate_name"), F.lit("").alias("color"))
-    alone = p.groupBy("uid", "frame").agg(F.count("*").alias("k")).where("k = 1")
-    p = p.join(alone, ["uid", "frame"], "left_semi")
-    said = p.select("uid", "frame", "p_partkey", F.when(F.col("p_partkey") % 3 == 0, "zzz qqq").otherwise(F.concat(F.lit(" "), F.upper("name"))).alias("reported"))
-    out = inventory.first_object(said.select("uid", "frame", "reported"), p)
-    return said.select("uid", "frame", "p_partkey").join(out, ["uid", "frame"]).select("p_partkey", "chosen", "error")
+    """Frames of several objects: an equal name, a part of a name that one or several share, a name inside a phrase, a foreign one, none."""
+    p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("uid"), (F.col("p_partkey") % 200).alias("frame"), F.col("p_name").alias("name"), F.col("p_name").alias("alternate_name"), F.lower("p_type").alias("color"))
+    said = p.groupBy("uid", "frame").agg(F.min("name").alias("name")).select("uid", "frame", F.expr(SAID).alias("reported"))
+    return inventory.first_object(said, p).select("uid", "frame", "chosen", "error")

@@ -248,7 +248,7 @@ PIXELS = "p AS (SELECT l_orderkey AS o, l_linenumber AS n, l_partkey % 1001 AS v
 
 @query(f"WITH {PIXELS} SELECT o, n, round(v / 1000.0 * (w - 1), 6) AS pixel, CAST(round_even(v / 1000.0 * (w - 1) / (w - 1) * 1000, 0) AS BIGINT) AS back, CAST(round_even((lo + v / 1000.0 * 199) / (w + 299) * 1000, 0) AS BIGINT) AS crop, count(*) AS copies FROM p GROUP BY ALL")
 def pixels(spark, sf_dir):
-    l = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").cast("bigint").alias("n"), (F.col("l_partkey") % 1001).alias("v"), (320 + F.col("l_suppkey") % 7 * 160).alias("w"), (F.col("l_suppkey") % 300).alias("lo"))
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), (F.col("l_partkey") % 1001).alias("v"), (320 + F.col("l_suppkey") % 7 * 160).alias("w"), (F.col("l_suppkey") % 300).alias("lo"))
     at = scalar.grid_to_pixel(F.col("v"), F.col("w"))
     rows = l.select("o", "n", F.round(at, 6).alias("pixel"), scalar.pixel_to_grid(at, F.col("w")).cast("bigint").alias("back"), scalar.crop_to_full(F.col("v"), F.col("lo"), F.col("lo") + 200, F.col("w") + 300).cast("bigint").alias("crop"))
     return rows.groupBy("o", "n", "pixel", "back", "crop").agg(F.count("*").alias("copies"))
