@@ -22,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, what: str) -> str:
     """A new folder below spark.checkpoint.dir, which the driver and all executors share.
 
-    Only where the setting is absent (tests, a laptop) a temporary folder is set.
+    Only where the setting is absent and all runs on one machine (tests, a laptop) a temporary folder is set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: the driver and the executors need a folder that they share")
         base = f"file://{tempfile.mkdtemp(prefix='annolith-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/annolith/{what}-{uuid.uuid4().hex}"
@@ -44,11 +46,17 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return out
 
 
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders of the shared file system."""
+    for x in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(x)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes stored tables on which no stored result and no plan depends any more."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, df.stored_at)
 
 
 def release(spark: SparkSession) -> None:

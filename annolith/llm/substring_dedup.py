@@ -1,35 +1,45 @@
 """Incremental removal of passages that an earlier document already has.
 
 A window is WINDOW words in a row.  A window that starts in a document with a smaller doc_id is a repeat, and
-every word of it goes.  The index is log-structured: each batch of documents adds one immutable run of
-(fingerprint, doc_id), sorted by fingerprint.  A run holds the windows' fingerprints thinned by content:
-of the GRAM-word hashes in a window the smallest stands for it, so equal windows have equal fingerprints
-wherever they stand, and a run is a small fraction of the text.
-
-A new batch is merge-joined with the runs.  Fingerprints that two documents share lead to verification:
-the documents that have them, new and old, give the hashes (96 bits) of all windows around them, the
-smallest doc_id of each window is aggregated, and the batch's windows are held against it.  Then the
-batch's run is added, and runs are compacted into one when there are more than FAN of them.
-
-Batches come in order of doc_id.  Nothing is gathered but the windows of one document.  Null text counts as
-empty; documents shorter than a window lose nothing; rows that share a doc_id never remove each other's
-words; rows without a doc_id neither lose words nor cost others theirs; equal rows give equal results; an
-empty table gives an empty result.
+every word of it goes.  The index is log-structured; each batch of documents adds immutable runs, sorted by hash:
+
+* anchors (anchor, doc_id): the windows' fingerprints thinned by content.  Of the GRAM-word hashes in a window the
+  smallest stands for it, so equal windows have equal anchors wherever they stand, and a run is a small fraction of
+  the text;
+* verified (anchor): anchors that two documents share, whose windows are known;
+* windows (h, c, lo): 96-bit hashes of the windows around verified anchors, and the smallest doc_id that has each.
+
+A new batch's anchors are merge-joined with the runs.  Where one is shared for the first time, the earlier documents
+that have it are read once more for the windows around it; a document is never read for the same anchor again.  The
+batch's own windows around shared anchors are then merge-joined with the runs of windows, verified by all 96 bits, and
+those with a smaller doc_id are repeats.  More than FAN runs of a kind are compacted into one and the old ones deleted.
+A manifest, written last, says which runs count, so an index can be opened again by a later session, and a batch that
+was broken off leaves nothing that is read.
+
+Batches come in order of doc_id, which is of any type that can be ordered.  Texts are tokenised once for their anchors;
+only documents that share an anchor are read again for their windows, and only those that lose words for what is kept.
+Nothing is gathered but the windows of one document.  Null text counts as empty; documents shorter than a window lose
+nothing; rows that share a doc_id never remove each other's words; rows without a doc_id neither lose words nor cost
+others theirs; equal rows give equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, map_batches, release, scratch, stored
+from .common import delete, discard, map_batches, release, scratch, stored
 
-WINDOW, GRAM, FAN = 50, 8, 4
+WINDOW, GRAM, FAN = 50, 8, 2
+#: So many doc_ids are broadcast to keep texts that nobody asks for out of a shuffle; beyond, all texts are shuffled.
+IDS = 2_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 REMEMBERED = 100_000
 
@@ -113,18 +123,20 @@ def window_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rolled(hashes, WINDOW), (second >> np.uint64(32)).astype(np.uint32)
 
 
-def postings(df: DataFrame) -> DataFrame:
-    """(anchor, doc_id), once for each text."""
+def tokenised(df: DataFrame) -> DataFrame:
+    """doc_id, n_words, whole_sha256 (of the words joined by one space) and anchors: the one look at every text."""
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at, found = [], []
-        for k, x in enumerate(batch.column(1)):
-            some = np.unique(anchors(word_hashes((x.as_py() or "").encode().split()))[1])
-            at.append(np.full(len(some), k))
-            found.append(some)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(at), pa.int64()))], ["anchor", "doc_id"])
+        count, sha, found = [], [], []
+        for x in batch.column(1):
+            words = (x.as_py() or "").encode().split()
+            count.append(len(words))
+            sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            found.append(np.unique(anchors(word_hashes(words))[1]).view(np.int64))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(sha, pa.string()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "n_words", "whole_sha256", "anchors"])
 
-    return map_batches(df.select("doc_id", "text"), f"anchor bigint, doc_id {df.schema['doc_id'].dataType.simpleString()}", rows)
+    kind = df.schema["doc_id"].dataType.simpleString()
+    return map_batches(df.select("doc_id", "text"), f"doc_id {kind}, n_words bigint, whole_sha256 string, anchors array<bigint>", rows)
 
 
 def _near(shared: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -174,111 +186,158 @@ def _cut(text: str | None, repeats: np.ndarray | None) -> tuple[list[bytes], lis
     return words, [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
 
 
-class FingerprintIndex:
-    """Sorted immutable runs of (anchor, doc_id) in the shared folder."""
-
-    def __init__(self, spark: SparkSession, fan: int = FAN):
-        self.spark, self.fan, self.runs = spark, fan, []
-
-    def add(self, run: DataFrame) -> None:
-        path = scratch(self.spark, "run")
-        run.repartitionByRange("anchor", "doc_id").sortWithinPartitions("anchor", "doc_id").write.parquet(path)
-        self.runs.append(self.spark.read.schema(run.schema).parquet(path))
-        if len(self.runs) > self.fan:
-            self.compact()
-
-    def compact(self) -> None:
-        """All runs into one."""
-        old, self.runs = self.all(), []
-        self.add(old)
-
-    def all(self) -> DataFrame | None:
-        out = None
-        for run in self.runs:
-            out = run if out is None else out.unionByName(run)
-        return out
+def _texts_of(documents: DataFrame, of: DataFrame, ids: DataFrame) -> DataFrame:
+    """documents joined with ``of`` on doc_id; if the ids are few, texts without one do not enter the shuffle."""
+    if ids.count() <= IDS:
+        documents = documents.join(F.broadcast(ids), "doc_id", "left_semi")
+    return documents.hint("merge").join(of, "doc_id")
 
-    def ingest(self, batch: DataFrame, history: DataFrame | None = None, *, keep: bool = True) -> DataFrame:
+
+class FingerprintIndex:
+    """Sorted immutable runs in a shared folder, and the manifest that says which of them count."""
+
+    KINDS = ("anchors", "verified", "windows")
+
+    def __init__(self, spark: SparkSession, root: str | None = None, fan: int = FAN):
+        """Opens the index at root (a new one if nothing is there), or makes one below spark.checkpoint.dir."""
+        self.spark, self.fan, self.version = spark, fan, 0
+        self.root = (root or scratch(spark, "fingerprints")).rstrip("/")
+        self.runs: dict[str, list[str]] = {kind: [] for kind in self.KINDS}
+        if root:
+            self._open()
+
+    def _open(self) -> None:
+        try:
+            rows = self.spark.read.schema("kind string, run string, version int").json(f"{self.root}/manifest")
+            self.version = rows.agg(F.max("version")).first()[0] or 0
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return
+        for r in rows.where(F.col("version") == self.version).collect():  # a few runs of each kind
+            self.runs[r.kind].append(r.run)
+
+    def _commit(self, old: list[str]) -> None:
+        """Writes the manifest, then deletes the runs that no manifest of this index needs any more."""
+        self.version += 1
+        listed = [(kind, run, self.version) for kind in self.KINDS for run in self.runs[kind]]
+        rows = self.spark.createDataFrame(listed, "kind string, run string, version int")
+        rows.select("kind", "run", "version").coalesce(1).write.mode("append").json(f"{self.root}/manifest")
+        delete(self.spark, *old)
+
+    def _write(self, kind: str, rows: DataFrame) -> str:
+        by = rows.columns if kind == "anchors" else rows.columns[:1]
+        path = f"{self.root}/{kind}-{uuid.uuid4().hex}"
+        rows.repartitionByRange(*by).sortWithinPartitions(*by).write.parquet(path)
+        return path
+
+    def run(self, kind: str) -> DataFrame | None:
+        """All runs of a kind as one table."""
+        return self.spark.read.parquet(*self.runs[kind]) if self.runs[kind] else None
+
+    def add(self, **new: DataFrame) -> None:
+        """One run of each kind; kinds with more than ``fan`` runs are compacted."""
+        old = []
+        for kind, rows in new.items():
+            self.runs[kind].append(self._write(kind, rows))
+            if len(self.runs[kind]) > self.fan:
+                old += self.runs[kind]
+                self.runs[kind] = [self._write(kind, self.run(kind))]
+        self._commit(old)
+
+    def ingest(self, batch: DataFrame, history: DataFrame | None = None, *, tokens: DataFrame | None = None, keep: bool = True) -> DataFrame:
         """(doc_id, repeats): hashes of the windows of each document of the batch that an earlier one has.
 
-        history has doc_id and text of the documents in the runs.  Without keep the batch adds no run: the
-        last batch of a table that will not grow.
+        history has doc_id and text of (at least) the documents in the runs; tokens is ``tokenised`` of the batch, if it
+        is there already.  Without keep the batch adds no run: the last batch of a table that will not grow.
         """
-        new = stored(postings(batch), "postings")
+        some = tokens if tokens is not None else tokenised(batch)
+        new = stored(some.where("doc_id IS NOT NULL").select(F.explode("anchors").alias("anchor"), "doc_id"), "postings")
         spans = new.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        old = self.all()
+        old, verified, known = (self.run(kind) for kind in self.KINDS)
         if old is None:
             shared = stored(spans.where("lo < hi").select("anchor"), "shared")
+            fresh = shared
         else:
-            known = old.groupBy("anchor").agg(F.min("doc_id").alias("before"))
-            shared = stored(spans.hint("merge").join(known, "anchor", "left").where("lo < hi OR before IS NOT NULL").select("anchor"), "shared")
-
-        def marked(documents: DataFrame, run: DataFrame, what: str) -> DataFrame:
-            of = run.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
-            return stored(windows(documents.select("doc_id", "text").join(of, "doc_id")), what)
-
-        own = marked(batch, new, "windows")
-        others = [] if old is None else [marked(history, old, "old-windows")]
-        every = own.unionByName(others[0]) if others else own
-        release(self.spark)
-        first = stored(every.groupBy("h", "c").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h", "c", "lo"), "first")
-        hits = own.join(first, ["h", "c"]).where("doc_id > lo").groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
+            before = old.groupBy("anchor").agg(F.min("doc_id").alias("before"))
+            shared = stored(spans.hint("merge").join(before, "anchor", "left").where("lo < hi OR before IS NOT NULL").select("anchor"), "shared")
+            fresh = shared.join(verified, "anchor", "left_anti")
+
+        def around(documents: DataFrame, postings: DataFrame, what: DataFrame, name: str) -> DataFrame:
+            of = stored(postings.join(what, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "of")
+            got = stored(windows(_texts_of(documents.select("doc_id", "text"), of, of.select("doc_id"))), name)
+            discard(of)
+            return got
+
+        own = around(batch, new, shared, "windows")
+        others = [around(history, old, fresh, "old-windows")] if old is not None else []
+        first = own.groupBy("h", "c").agg(F.min("doc_id").alias("lo"))
+        for x in others:
+            first = first.unionByName(x.groupBy("h", "c").agg(F.min("doc_id").alias("lo")))
+        first = stored(first.groupBy("h", "c").agg(F.min("lo").alias("lo")), "first")
+        earliest = first
+        if known is not None:
+            seen = known.groupBy("h", "c").agg(F.min("lo").alias("seen"))
+            earliest = first.hint("merge").join(seen, ["h", "c"], "left").select("h", "c", F.least("lo", "seen").alias("lo"))
+        hits = own.hint("merge").join(earliest, ["h", "c"]).where("doc_id > lo").groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
         out = stored(hits, "repeats")
         if keep:
-            self.add(new)
+            self.add(anchors=new.select("anchor", "doc_id"), verified=fresh.select("anchor"), windows=first.select("h", "c", "lo"))
         discard(own, *others, first, shared, new)
         release(self.spark)
         return out
 
 
-def repeats(df: DataFrame, *, batches: int = 2, fan: int = FAN) -> DataFrame:
-    """(doc_id, repeats) over a whole table, ingested in batches of rising doc_id."""
+def _cuts(ids: DataFrame, batches: int) -> list:
+    """doc_ids at which the batches of rising doc_id begin, from a sample of a thousand ids; fewer if ids are few."""
+    some = sorted(r[0] for r in ids.where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(1000).collect())
+    return sorted({some[len(some) * k // batches] for k in range(1, batches)} - set(some[:1])) if some else []
+
+
+def repeats(df: DataFrame, *, batches: int = 4, fan: int = FAN) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, repeats), ``tokenised``) of a whole table, ingested in batches of rising doc_id."""
     df = df.select("doc_id", "text")
-    ends = df.agg(F.min("doc_id"), F.max("doc_id")).first()
-    index = FingerprintIndex(df.sparkSession, fan)
-    out, past = None, None
-    for k in range(batches):
-        top = None if k == batches - 1 or ends[0] is None else ends[0] + (ends[1] - ends[0] + 1) * (k + 1) // batches
-        some = df if past is None else df.where(F.col("doc_id") >= past)
-        some = some if top is None else some.where(F.col("doc_id") < top)
-        got = index.ingest(some, None if past is None else df.where(F.col("doc_id") < past), keep=top is not None)
+    tokens = stored(tokenised(df), "tokens")
+    index = FingerprintIndex(df.sparkSession, fan=fan)
+    cuts = _cuts(tokens.select("doc_id"), batches)
+    out, key = None, F.col("doc_id")
+    for k in range(len(cuts) + 1):
+        low = key >= F.lit(cuts[k - 1]) if k else F.lit(True)
+        inside = low & (key < F.lit(cuts[k])) if k < len(cuts) else low
+        got = index.ingest(df.where(inside), df.where(key < F.lit(cuts[k - 1])) if k else None, tokens=tokens.where(inside), keep=k < len(cuts))
         out = got if out is None else out.unionByName(got)
-        past = top
-        if top is None:
-            break
-    return out
+    delete(df.sparkSession, index.root)
+    return out, tokens
 
 
-def digest(df: DataFrame, *, batches: int = 2) -> DataFrame:
+def digest(df: DataFrame, *, batches: int = 4) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words, joined by one space)."""
-    found = repeats(df, batches=batches)
+    found, tokens = repeats(df, batches=batches)
     kind = df.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_words bigint, n_removed bigint, whole_sha256 string, kept_sha256 string"
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        count, gone, whole, kept = [], [], [], []
-        cut = batch.column(2) if batch.num_columns > 2 else [None] * batch.num_rows
-        for x, r in zip(batch.column(1), cut, strict=True):
-            words, left = _cut(x.as_py(), r.values.to_numpy().view(np.uint64) if r is not None else None)
-            count.append(len(words))
-            gone.append(len(words) - len(left))
+        whole, gone, kept = [], [], []
+        for x, r in zip(batch.column(1), batch.column(2), strict=True):
+            words, left = _cut(x.as_py(), r.values.to_numpy().view(np.uint64))
             whole.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            kept.append(hashlib.sha256(b" ".join(left)).hexdigest() if len(left) < len(words) else whole[-1])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(gone, pa.int64()), pa.array(whole, pa.string()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "whole_sha256", "kept_sha256"])
+            gone.append(len(words) - len(left))
+            kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.string()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "whole_sha256", "gone", "left"])
 
-    documents = df.select("doc_id", "text")
-    plain = map_batches(documents, schema, rows).drop("n_removed", "kept_sha256")
-    cut = map_batches(documents.join(found, "doc_id"), schema, rows).select("doc_id", "whole_sha256", F.col("n_removed").alias("gone"), F.col("kept_sha256").alias("left")).distinct()
+    texts = _texts_of(df.select("doc_id", "text"), found, found.select("doc_id"))
+    cut = map_batches(texts.select("doc_id", "text", "repeats"), f"doc_id {kind}, whole_sha256 string, gone bigint, left string", rows).distinct()
+    plain = tokens.select("doc_id", "n_words", "whole_sha256")
     return plain.join(cut, ["doc_id", "whole_sha256"], "left").select("doc_id", "n_words", F.coalesce("gone", F.lit(0).cast("bigint")).alias("n_removed"), F.coalesce("left", "whole_sha256").alias("kept_sha256"))
 
 
-def remove(df: DataFrame, *, batches: int = 2, length: str | None = "n_chars") -> DataFrame:
+def remove(df: DataFrame, *, batches: int = 4, length: str | None = "n_chars") -> DataFrame:
     """The same rows and columns without the repeated words; the white space around what is kept stays as it was.
 
     Documents that lose nothing keep their text as it is, and null texts stay null; length names the column, if
     there is one, that holds the text's number of characters.
     """
-    found = repeats(df, batches=batches)
+    found, tokens = repeats(df, batches=batches)
+    discard(tokens)
     place = df.columns.index("text")
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:

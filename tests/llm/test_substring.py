@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from annolith.llm import substring_dedup as s
 
@@ -41,14 +42,27 @@ def test_edges(spark):
     assert got[2] == (62, 60) and got[3] == (50, 50) and got[4] == (49, 0) and got[7] == (70, 0) and got[9] == (120, 120)
 
 
-def test_compaction(corpus):
-    index = s.FingerprintIndex(corpus.sparkSession, fan=2)
-    n = 0
-    for k in range(5):
-        run = s.postings(corpus.where(f"doc_id % 5 = {k}"))
-        n += run.count()
-        index.add(run)
-    assert len(index.runs) <= 2 and index.all().count() == n
+def test_a_later_session_goes_on(spark, corpus, tmp_path):
+    """Batches by indexes that are opened anew each time: the same repeats as brute force, and few runs left."""
+    root, want, got = f"file://{tmp_path}/index", plain([(r.doc_id, r.text) for r in corpus.collect()]), {}
+    ids = sorted(want)
+    cuts = [ids[len(ids) * k // 6] for k in range(6)] + [ids[-1] + 1]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        index = s.FingerprintIndex(spark, root, fan=2)
+        found = index.ingest(corpus.where(f"doc_id >= {low} AND doc_id < {high}"), corpus.where(f"doc_id < {low}"))
+        got |= {r.doc_id: {x % 2**64 for x in r.repeats} for r in found.collect()}
+        assert all(len(runs) <= 2 for runs in index.runs.values())
+    for r in corpus.collect():
+        n, left = want[r.doc_id]
+        assert len(s._cut(r.text, np.array(sorted(got.get(r.doc_id, ())), np.uint64))[1]) == len(left)
+    folders = {p.name.split("-")[0] for p in (tmp_path / "index").iterdir()}
+    assert folders == {"manifest", "anchors", "verified", "windows"} and len(list((tmp_path / "index").iterdir())) <= 7 and index.version == 6
+
+
+def test_ids_of_other_types(corpus):
+    want = {r.doc_id: r.n_removed for r in s.digest(corpus).collect()}
+    named = corpus.withColumn("doc_id", F.format_string("d%09d", "doc_id"))
+    assert {int(r.doc_id[1:]): r.n_removed for r in s.digest(named).collect()} == want and any(want.values())
 
 
 def test_rows_stay_whole(odd, none):
