@@ -3,6 +3,8 @@
 A window is WINDOW words in a row.  A window that starts in a document with a smaller doc_id is a repeat, and
 every word of it goes.  The index is log-structured; each batch of documents adds immutable runs, sorted by hash:
 
+* texts (sha, lo): whole texts and the smallest doc_id of each.  A later document of the same words is a repeat from end
+  to end and goes no further, so groups of copies cost one row each;
 * anchors (anchor, doc_id): the windows' fingerprints thinned by content.  Of the GRAM-word hashes in a window the
   smallest stands for it, so equal windows have equal anchors wherever they stand, and a run is a small fraction of
   the text;
@@ -196,7 +198,7 @@ def _texts_of(documents: DataFrame, of: DataFrame, ids: DataFrame) -> DataFrame:
 class FingerprintIndex:
     """Sorted immutable runs in a shared folder, and the manifest that says which of them count."""
 
-    KINDS = ("anchors", "verified", "windows")
+    KINDS = ("texts", "anchors", "verified", "windows")
 
     def __init__(self, spark: SparkSession, root: str | None = None, fan: int = FAN):
         """Opens the index at root (a new one if nothing is there), or makes one below spark.checkpoint.dir."""
@@ -245,16 +247,25 @@ class FingerprintIndex:
                 self.runs[kind] = [self._write(kind, self.run(kind))]
         self._commit(old)
 
-    def ingest(self, batch: DataFrame, history: DataFrame | None = None, *, tokens: DataFrame | None = None, keep: bool = True) -> DataFrame:
-        """(doc_id, repeats): hashes of the windows of each document of the batch that an earlier one has.
+    def ingest(self, batch: DataFrame, history: DataFrame | None = None, *, tokens: DataFrame | None = None, keep: bool = True) -> tuple[DataFrame, DataFrame]:
+        """((doc_id, repeats), (doc_id, whole_sha256)): hashes of the windows of each document of the batch that an earlier
+        one has, and the documents whose whole text an earlier one has.
 
         history has doc_id and text of (at least) the documents in the runs; tokens is ``tokenised`` of the batch, if it
         is there already.  Without keep the batch adds no run: the last batch of a table that will not grow.
         """
         some = tokens if tokens is not None else tokenised(batch)
-        new = stored(some.where("doc_id IS NOT NULL").select(F.explode("anchors").alias("anchor"), "doc_id"), "postings")
+        long_ = some.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW)).withColumn("sha", F.unhex("whole_sha256"))
+        texts = long_.groupBy("sha").agg(F.min("doc_id").alias("lo"), F.min_by("anchors", "doc_id").alias("anchors"))
+        old_texts, old, verified, known = (self.run(kind) for kind in self.KINDS)
+        if old_texts is None:
+            texts = stored(texts.withColumn("seen", F.lit(None).cast(texts.schema["lo"].dataType)), "texts")
+        else:
+            texts = stored(texts.join(old_texts.groupBy("sha").agg(F.min("lo").alias("seen")), "sha", "left"), "texts")
+        copies = long_.select("doc_id", "whole_sha256", "sha").join(texts.select("sha", F.least("lo", "seen").alias("lo")), "sha").where("doc_id > lo")
+        copies = stored(copies.select("doc_id", "whole_sha256").distinct(), "copies")
+        new = stored(texts.where("seen IS NULL").select(F.explode("anchors").alias("anchor"), F.col("lo").alias("doc_id")), "postings")
         spans = new.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        old, verified, known = (self.run(kind) for kind in self.KINDS)
         if old is None:
             shared = stored(spans.where("lo < hi").select("anchor"), "shared")
             fresh = shared
@@ -282,10 +293,10 @@ class FingerprintIndex:
         hits = own.hint("merge").join(earliest, ["h", "c"]).where("doc_id > lo").groupBy("doc_id").agg(F.collect_set("h").alias("repeats"))
         out = stored(hits, "repeats")
         if keep:
-            self.add(anchors=new.select("anchor", "doc_id"), verified=fresh.select("anchor"), windows=first.select("h", "c", "lo"))
-        discard(own, *others, first, shared, new)
+            self.add(texts=texts.where("seen IS NULL").select("sha", "lo"), anchors=new.select("anchor", "doc_id"), verified=fresh.select("anchor"), windows=first.select("h", "c", "lo"))
+        discard(own, *others, first, shared, new, texts)
         release(self.spark)
-        return out
+        return out, copies
 
 
 def _cuts(ids: DataFrame, batches: int) -> list:
@@ -294,25 +305,25 @@ def _cuts(ids: DataFrame, batches: int) -> list:
     return sorted({some[len(some) * k // batches] for k in range(1, batches)} - set(some[:1])) if some else []
 
 
-def repeats(df: DataFrame, *, batches: int = 4, fan: int = FAN) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, repeats), ``tokenised``) of a whole table, ingested in batches of rising doc_id."""
+def repeats(df: DataFrame, *, batches: int = 4, fan: int = FAN) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """((doc_id, repeats), (doc_id, whole_sha256) of copies, ``tokenised``) of a whole table, ingested in batches of rising doc_id."""
     df = df.select("doc_id", "text")
     tokens = stored(tokenised(df), "tokens")
     index = FingerprintIndex(df.sparkSession, fan=fan)
     cuts = _cuts(tokens.select("doc_id"), batches)
-    out, key = None, F.col("doc_id")
+    out, same, key = None, None, F.col("doc_id")
     for k in range(len(cuts) + 1):
         low = key >= F.lit(cuts[k - 1]) if k else F.lit(True)
         inside = low & (key < F.lit(cuts[k])) if k < len(cuts) else low
-        got = index.ingest(df.where(inside), df.where(key < F.lit(cuts[k - 1])) if k else None, tokens=tokens.where(inside), keep=k < len(cuts))
-        out = got if out is None else out.unionByName(got)
+        got, copies = index.ingest(df.where(inside), df.where(key < F.lit(cuts[k - 1])) if k else None, tokens=tokens.where(inside), keep=k < len(cuts))
+        out, same = (got, copies) if out is None else (out.unionByName(got), same.unionByName(copies))
     delete(df.sparkSession, index.root)
-    return out, tokens
+    return out, same, tokens
 
 
 def digest(df: DataFrame, *, batches: int = 4) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words, joined by one space)."""
-    found, tokens = repeats(df, batches=batches)
+    found, copies, tokens = repeats(df, batches=batches)
     kind = df.schema["doc_id"].dataType.simpleString()
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -327,7 +338,11 @@ def digest(df: DataFrame, *, batches: int = 4) -> DataFrame:
     texts = _texts_of(df.select("doc_id", "text"), found, found.select("doc_id"))
     cut = map_batches(texts.select("doc_id", "text", "repeats"), f"doc_id {kind}, whole_sha256 string, gone bigint, left string", rows).distinct()
     plain = tokens.select("doc_id", "n_words", "whole_sha256")
-    return plain.join(cut, ["doc_id", "whole_sha256"], "left").select("doc_id", "n_words", F.coalesce("gone", F.lit(0).cast("bigint")).alias("n_removed"), F.coalesce("left", "whole_sha256").alias("kept_sha256"))
+    # a copy may share its doc_id with another text, of which only the windows go
+    gone = cut.unionByName(copies.join(cut, ["doc_id", "whole_sha256"], "left_anti").withColumn("gone", F.lit(None).cast("bigint")).withColumn("left", F.lit(hashlib.sha256(b"").hexdigest())))
+    joined = plain.join(gone, ["doc_id", "whole_sha256"], "left")
+    lost = F.when(F.col("left").isNull(), F.lit(0).cast("bigint")).otherwise(F.coalesce("gone", "n_words"))
+    return joined.select("doc_id", "n_words", lost.alias("n_removed"), F.coalesce("left", "whole_sha256").alias("kept_sha256"))
 
 
 def remove(df: DataFrame, *, batches: int = 4, length: str | None = "n_chars") -> DataFrame:
@@ -336,34 +351,44 @@ def remove(df: DataFrame, *, batches: int = 4, length: str | None = "n_chars") -
     Documents that lose nothing keep their text as it is, and null texts stay null; length names the column, if
     there is one, that holds the text's number of characters.
     """
-    found, tokens = repeats(df, batches=batches)
+    found, copies, tokens = repeats(df, batches=batches)
     discard(tokens)
     place = df.columns.index("text")
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = batch.column(0).flatten()
         new = []
-        for x, r in zip(columns[place], batch.column(1), strict=True):
+        for x, r, same in zip(columns[place], batch.column(1), batch.column(2), strict=True):
             text = x.as_py()
-            new.append(text if text is None or not r.is_valid else _without(text, r.values.to_numpy().view(np.uint64)))
+            new.append(text if text is None or not (r.is_valid or same.is_valid) else _without(text, r.values.to_numpy().view(np.uint64) if r.is_valid else NOTHING, same.as_py() or ()))
         return pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if k == place else c for k, c in enumerate(columns)], df_names)
 
     df_names = df.columns
     whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
-    joined = whole.join(found, F.col("row.doc_id") == found["doc_id"], "left").select("row", "repeats")
+    same = copies.groupBy("doc_id").agg(F.collect_set("whole_sha256").alias("same"))
+    lost = found.join(same, "doc_id", "full_outer")
+    joined = whole.join(lost, F.col("row.doc_id") == lost["doc_id"], "left").select("row", "repeats", "same")
     out = map_batches(joined, df.schema, rows)
     return out.withColumn(length, F.length("text").cast(df.schema[length].dataType)) if length in df.columns else out
 
 
-def _without(text: str, repeated: np.ndarray) -> str:
-    words, left = _cut(text, repeated)
-    if len(words) == len(left):
+NOTHING = np.zeros(0, np.uint64)
+
+
+def _without(text: str, repeated: np.ndarray, same: tuple[str, ...] = ()) -> str:
+    """The text without the words of repeated windows, or without any if the digest of its words is among ``same``."""
+    words = text.encode().split()
+    if len(words) < WINDOW:
         return text
     starts = np.flatnonzero(np.isin(window_hashes(word_hashes(words))[0], repeated))
     turns = np.zeros(len(words) + 1, np.int64)
     turns[starts] += 1
     turns[starts + WINDOW] -= 1
     gone = np.cumsum(turns[:-1]) > 0
+    if same and not gone.all() and hashlib.sha256(b" ".join(words)).hexdigest() in same:
+        gone[:] = True
+    if not gone.any():
+        return text
     raw, out, at, kept_from = text.encode(), [], 0, 0
     for word, g in zip(words, gone.tolist(), strict=True):
         at = raw.index(word, at)

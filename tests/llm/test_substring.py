@@ -44,19 +44,30 @@ def test_edges(spark):
 
 def test_a_later_session_goes_on(spark, corpus, tmp_path):
     """Batches by indexes that are opened anew each time: the same repeats as brute force, and few runs left."""
-    root, want, got = f"file://{tmp_path}/index", plain([(r.doc_id, r.text) for r in corpus.collect()]), {}
+    root, want, got, whole = f"file://{tmp_path}/index", plain([(r.doc_id, r.text) for r in corpus.collect()]), {}, set()
     ids = sorted(want)
     cuts = [ids[len(ids) * k // 6] for k in range(6)] + [ids[-1] + 1]
     for low, high in zip(cuts, cuts[1:], strict=False):
         index = s.FingerprintIndex(spark, root, fan=2)
-        found = index.ingest(corpus.where(f"doc_id >= {low} AND doc_id < {high}"), corpus.where(f"doc_id < {low}"))
+        found, copies = index.ingest(corpus.where(f"doc_id >= {low} AND doc_id < {high}"), corpus.where(f"doc_id < {low}"))
         got |= {r.doc_id: {x % 2**64 for x in r.repeats} for r in found.collect()}
+        whole |= {r.doc_id for r in copies.collect()}
         assert all(len(runs) <= 2 for runs in index.runs.values())
     for r in corpus.collect():
         n, left = want[r.doc_id]
-        assert len(s._cut(r.text, np.array(sorted(got.get(r.doc_id, ())), np.uint64))[1]) == len(left)
+        assert len(left) == (0 if r.doc_id in whole else len(s._cut(r.text, np.array(sorted(got.get(r.doc_id, ())), np.uint64))[1]))
+    assert whole
     folders = {p.name.split("-")[0] for p in (tmp_path / "index").iterdir()}
-    assert folders == {"manifest", "anchors", "verified", "windows"} and len(list((tmp_path / "index").iterdir())) <= 7 and index.version == 6
+    assert folders == {"manifest", "texts", "anchors", "verified", "windows"} and len(list((tmp_path / "index").iterdir())) <= 9 and index.version == 6
+
+
+def test_copies_under_a_shared_id(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    df = spark.createDataFrame([(1, passage, 0), (2, passage, 0), (2, "own " + passage + " end", 0), (3, "x  " + passage, 0), (4, "x " + passage, 0)], "doc_id bigint, text string, n_chars int")
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in s.digest(df).collect())
+    assert got == [(1, 60, 0), (2, 60, 60), (2, 62, 60), (3, 61, 60), (4, 61, 61)]
+    left = sorted((r.doc_id, r.text.split()) for r in s.remove(df).collect())
+    assert left == [(1, passage.split()), (2, []), (2, ["own", "end"]), (3, ["x"]), (4, [])]
 
 
 def test_ids_of_other_types(corpus):
