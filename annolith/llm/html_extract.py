@@ -1,20 +1,25 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into one line for each block element.  A line weighs as many characters as it has
-outside links; lines of menus, headers, footers, side columns, notices, adverts, forms and comments weigh
-nothing.  Over the lines runs a window; where its sum leaps up from nothing the text surges, where it
-drops to nothing it dives, and the lines between the two are kept.  If the page marks its content
-(article, main), only lines inside count; else the heaviest stretch is taken, with every other stretch
-of at least a third of its weight.
-
-Null or empty html gives an empty text.  Broken markup never raises: unclosed tags end with the page or
-with the element around them, an unfinished tag at the end is dropped, and bad character references stay.
+Markup is stripped into one line for each block element.  A line weighs as many characters as it has outside links;
+lines of menus, footers, forms and of elements whose names say that they are no article weigh nothing.  Over all lines
+of the page runs a window; where its sum leaps up from nothing the text surges, where it drops to nothing it dives, and
+the lines between the two are a stretch.
+
+Of each stretch the core is the element whose own lines weigh most: inside article or main, if the page marks its
+content so, else the heaviest div or body of the heaviest stretch.  Stretches with lines of the core stay, whatever
+their weight; without marked content, others of at least a third of the heaviest do too.  At the edges of a stretch
+short lines that stand in a box of their own, before the core's first line or after its last, go: they are what windows
+drag along, an advert above a heading or a notice below the text.
+
+Null or empty html gives an empty text.  Broken markup never raises: unclosed tags end with the page or with the element
+around them, an unfinished tag at the end is dropped, and bad character references stay.  Time is linear in the page.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +35,7 @@ TOKEN = re.compile(
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never hold the article.
 BOILERPLATE = frozenset("nav footer aside form menu button dialog fieldset head".split())
@@ -40,7 +46,20 @@ MARKED = re.compile(
 HEADER = re.compile(r"(?<![a-z])(?:header|site-header|page-header)(?![a-z])")
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style|itemprop)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 WINDOW = 3
-SHARE = 3
+#: A further stretch needs this part of the heaviest one's weight, a box at a stretch's edge that of the core's.
+SHARE, EDGE = 3, 4
+#: Elements that hold text of their own kind; others (lists, tables, quotes) belong to the box around them.
+BOXES = frozenset("div body html header section dialog details".split())
+
+
+class Line(NamedTuple):
+    """A line of the page; noise has weight -1.  box is the number of the element it stands in, marked: inside article or main."""
+
+    text: str
+    weight: int
+    box: int
+    marked: bool
+    heading: bool
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -60,27 +79,30 @@ def _noise(tag: str, raw: str, inside: bool) -> bool:
     return bool(MARKED.search(names)) or not inside and bool(HEADER.search(names))
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, inside marked content) of each line of the page; noise has weight -1."""
-    found: list[tuple[str, int, bool]] = []
+def lines(page: str) -> list[Line]:
+    """The lines of a page."""
+    found: list[Line] = []
     parts: list[str] = []
     linked = 0
-    open_: list[tuple[str, bool, bool]] = []  # tag, starts noise, starts content
-    noise = content = 0
+    open_: list[tuple[str, bool, bool, int]] = []  # tag, starts noise, starts content, box
+    places: dict[str, list[int]] = {}  # where each tag stands in open_
+    noise = content = boxes = 0
 
     def end() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            found.append((text, -1 if noise else max(0, len(text) - linked), content > 0))
+            weight = -1 if noise else len(text) if content else max(0, len(text) - linked)
+            found.append(Line(text, weight, open_[-1][3] if open_ else 0, content > 0, bool(open_) and open_[-1][0] in HEADINGS))
         parts.clear()
         linked = 0
 
     def close(k: int) -> None:
         nonlocal noise, content
-        for _, n, c in open_[k:]:
+        for tag, n, c, _ in open_[k:]:
             noise -= n
             content -= c
+            places[tag].pop()
         del open_[k:]
 
     at, links = 0, 0
@@ -108,13 +130,10 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if tag in VOID:
             continue
         if closing:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == tag:
-                    if tag in BLOCKS:
-                        close(k)
-                    else:
-                        close(k) if k == len(open_) - 1 else None
-                    break
+            if places.get(tag):
+                k = places[tag][-1]
+                if tag in BLOCKS or k == len(open_) - 1:
+                    close(k)
             continue
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th") or tag in BLOCKS and open_ and open_[-1][0] == "p":  # such elements end where the next begins
             for k in range(len(open_) - 1, -1, -1):
@@ -127,12 +146,17 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             starts = _noise(tag, raw, content > 0)
             marks = not starts and (tag in ("article", "main") or bool(raw) and (_attributes(raw).get("role") in ("main", "article") or _attributes(raw).get("itemprop") == "articlebody"))
             if marks and tag in ("article", "main") and noise:  # noise left open before the article begins
-                for k, (_, n, _) in enumerate(open_):
+                for k, (_, n, _, _) in enumerate(open_):
                     if n and open_[k][0] in ("nav", "header", "aside", "form", "div", "ul", "menu", "p") and not content:
                         close(k)
                         break
-            if tag in BLOCKS or starts or marks:
-                open_.append((tag, starts, marks))
+            if tag in BLOCKS or marks or starts and not noise:  # noise inside noise changes nothing
+                around = open_[-1][3] if open_ else 0
+                if marks and not content or tag in BOXES and not content:  # inside marked content all is one box
+                    boxes += 1
+                    around = boxes
+                places.setdefault(tag, []).append(len(open_))
+                open_.append((tag, starts, marks, around))
                 noise += starts
                 content += marks
     if at < len(page):
@@ -167,17 +191,46 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     all_ = lines(page)
-    marked = [x for x in all_ if x[2]]
-    some = marked if any(w > 0 for _, w, _ in marked) else all_
-    weights = [w for _, w, _ in some]
-    if some is marked:  # links and headings inside the article are part of it
-        weights = [len(t) if w >= 0 else -1 for t, w, _ in some]
+    weights = [x.weight for x in all_]
     runs = stretches(weights)
     if not runs:
         return ""
+    marked = any(x.marked and x.weight > 0 for x in all_)
     heavy = [sum(max(0, w) for w in weights[a:b]) for a, b in runs]
-    least = 0 if some is marked else max(heavy) / SHARE
-    return "\n".join(some[k][0] for (a, b), h in zip(runs, heavy, strict=True) if h >= least for k in range(a, b) if weights[k] >= 0)
+    kept = []
+    if marked:
+        core = lambda x: x.marked
+        least = sum(heavy) + 1
+    else:
+        a, b = runs[heavy.index(max(heavy))]
+        own: dict[int, int] = {}
+        for x in all_[a:b]:
+            own[x.box] = own.get(x.box, 0) + max(0, x.weight)
+        box = max(own, key=lambda k: (own[k], -k))
+        core = lambda x: x.box == box and x.weight >= 0
+        least = max(heavy) / SHARE
+    for (a, b), weight in zip(runs, heavy, strict=True):
+        inside = [k for k in range(a, b) if core(all_[k]) and weights[k] >= 0]
+        if inside:
+            kept += [k for k in (inside if marked else range(*_trimmed(all_, a, b, inside))) if weights[k] >= 0]
+        elif weight >= least:
+            kept += [k for k in range(a, b) if weights[k] >= 0]
+    return "\n".join(all_[k].text for k in kept)
+
+
+def _trimmed(all_: list[Line], a: int, b: int, inside: list[int]) -> tuple[int, int]:
+    """The stretch a..b without light boxes before the first and after the last line of the core, which has several lines."""
+    if len(inside) < 2:
+        return a, b
+    own: dict[int, int] = {}
+    for x in all_[a:b]:
+        own[x.box] = own.get(x.box, 0) + max(0, x.weight)
+    goes = lambda k: all_[k].box != all_[inside[0]].box and not all_[k].heading and own[all_[k].box] * EDGE < own[all_[inside[0]].box]
+    while a < inside[0] and goes(a):
+        a += 1
+    while b - 1 > inside[-1] and goes(b - 1):
+        b -= 1
+    return a, b
 
 
 def extract(df: DataFrame, *, html: str = "html", key: str = "page_id", url: str = "url") -> DataFrame:
