@@ -4,7 +4,8 @@ A payload is stored losslessly as unsigned 8-bit mono PCM in a WAV container and
 stored bytes.  Its samples are resampled by a polyphase filter, cut into overlapping frames, and turned
 into log-mel energies, which stand in fixed-shape Arrow tensors of FRAMES x BANDS with the time span of
 each.  A hysteresis over the frame energy (opened above one level, closed below a lower one) gives the
-active segments.
+active segments.  Tensors and spans are stored as Arrow IPC bytes beside the clip, since Parquet as Spark writes it has
+no tensor type; ``from_ipc`` gives them back as Arrow's fixed-shape tensors.
 
 Nulls count as empty texts; an empty payload is one block of filler.  Equal texts give equal values: each
 clip is computed by itself, in blocks of a fixed size, so neither its neighbours in a batch nor the size
@@ -16,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -154,13 +154,51 @@ def analyse(stored: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return tensors(mel), spans, np.stack([found[:, 0] * HOP, (found[:, 1] - 1) * HOP + FRAME], axis=1) / now
 
 
-def describe(stored: bytes) -> str:
-    """Clip length, tensors, active segments and seconds, and the mean log energy of four groups of bands."""
+#: What a clip's tensors are stored as: an Arrow IPC stream of one batch, a row for each tensor.
+TENSOR = pa.fixed_shape_tensor(pa.float32(), (FRAMES, BANDS), dim_names=("frame", "band"))
+TENSORS = pa.schema([("start_s", pa.float64()), ("end_s", pa.float64()), ("active_s", pa.float64()), ("log_mel", TENSOR)])
+
+
+def to_ipc(stored: bytes) -> tuple[bytes, np.ndarray]:
+    """A clip's tensors with their spans as an Arrow IPC stream, and its active segments in seconds."""
     found, spans, active = analyse(stored)
-    mel = found.to_numpy_ndarray()
-    n = round((spans[-1, 1] * RATE_IN * UP / DOWN - FRAME) / HOP) + 1
+    batch = pa.RecordBatch.from_arrays([pa.array(spans[:, 0]), pa.array(spans[:, 1]), pa.array(_overlaps(spans, active)), pa.ExtensionArray.from_storage(TENSOR, found.storage)], schema=TENSORS)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, TENSORS) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes(), active
+
+
+def _overlaps(spans: np.ndarray, active: np.ndarray) -> np.ndarray:
+    """Active seconds inside each span, from running sums over the segments."""
+    if not len(active):
+        return np.zeros(len(spans))
+    edges = np.concatenate([[0.0], np.cumsum(active[:, 1] - active[:, 0])])
+
+    def until(t: np.ndarray) -> np.ndarray:
+        k = np.searchsorted(active[:, 0], t, "right")
+        inside = np.where(k > 0, np.minimum(t, active[np.maximum(k - 1, 0), 1]) - active[np.maximum(k - 1, 0), 0], 0.0)
+        return np.where(k > 0, edges[np.maximum(k - 1, 0)] + inside, 0.0)
+
+    return until(spans[:, 1]) - until(spans[:, 0])
+
+
+def from_ipc(raw: bytes) -> pa.RecordBatch:
+    """start_s, end_s, active_s and log_mel (fixed-shape tensors) of a clip; raises ValueError on any other schema."""
+    with pa.ipc.open_stream(raw) as reader:
+        if reader.schema != TENSORS:
+            raise ValueError("not a clip's tensors")
+        return reader.read_next_batch()
+
+
+def describe(tensors: pa.RecordBatch, active: pa.StructArray) -> str:
+    """Clip length, tensors, active segments and seconds, and the mean log energy of four groups of bands."""
+    end = tensors["end_s"][len(tensors) - 1].as_py()
+    mel = tensors["log_mel"].to_numpy_ndarray()
+    n = round((end * RATE_IN * UP / DOWN - FRAME) / HOP) + 1
     mean = mel.reshape(-1, BANDS)[:n].mean(0, dtype=np.float64).reshape(4, -1).mean(1)
-    return f"seconds={spans[-1, 1]:.3f};tensors={len(found)};segments={len(active)};active={(active[:, 1] - active[:, 0]).sum():.3f};mel=" + ",".join(f"{x:.2f}" for x in mean)
+    seconds = (active.field("end_s").to_numpy() - active.field("start_s").to_numpy()).sum()
+    return f"seconds={end:.3f};tensors={len(tensors)};segments={len(active)};active={seconds:.3f};mel=" + ",".join(f"{x:.2f}" for x in mean)
 
 
 def store(df: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -175,42 +213,32 @@ def store(df: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFram
 
 
 def features(media: DataFrame) -> DataFrame:
-    """A row for each tensor of each clip: doc_id, tensor, start_s, end_s, log_mel (FRAMES x BANDS, row by row) and active_s.
-
-    ``tensor_column`` turns log_mel into Arrow's fixed-shape type where a reader takes that.
-    """
+    """doc_id, n_bytes, media, tensors (see ``from_ipc``) and active (array of start and end in seconds) of each clip."""
     kind = media.schema["doc_id"].dataType.simpleString()
+    span = pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, stored in enumerate(batch.column(1)):
-                found, spans, active = analyse(stored.as_py())
-                inside = [float(np.maximum(0, np.minimum(active[:, 1], e) - np.maximum(active[:, 0], s)).sum()) for s, e in spans]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column(0)[row].as_py()] * len(found), batch.schema.field(0).type), pa.array(range(len(found)), pa.int32()), pa.array(spans[:, 0]), pa.array(spans[:, 1]), found.storage.cast(pa.list_(pa.float32())), pa.array(inside, pa.float64())],
-                    ["doc_id", "tensor", "start_s", "end_s", "log_mel", "active_s"],
-                )
-
-    return media.select("doc_id", "media").mapInArrow(run, f"doc_id {kind}, tensor int, start_s double, end_s double, log_mel array<float>, active_s double")
-
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        got = [to_ipc(x.as_py()) for x in batch.column(2)]
+        counts = np.concatenate([[0], np.cumsum([len(a) for _, a in got])]).astype(np.int32)
+        flat = np.concatenate([a for _, a in got] or [np.zeros((0, 2))])
+        spans = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(span))
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array([t for t, _ in got], pa.binary()), pa.ListArray.from_arrays(pa.array(counts), spans)], ["doc_id", "n_bytes", "media", "tensors", "active"])
 
-def tensor_column(log_mel: pa.Array) -> pa.Array:
-    flat = log_mel.flatten() if isinstance(log_mel, pa.Array) else log_mel.combine_chunks().flatten()
-    return pa.FixedShapeTensorArray.from_numpy_ndarray(flat.to_numpy(zero_copy_only=False).reshape(-1, FRAMES, BANDS))
+    return map_batches(media.select("doc_id", "n_bytes", "media"), f"doc_id {kind}, n_bytes bigint, media binary, tensors binary, active array<struct<start_s:double,end_s:double>>", rows)
 
 
-def digest(media: DataFrame) -> DataFrame:
-    """What is read back from each stored clip, and its features in one string."""
+def digest(clips: DataFrame) -> DataFrame:
+    """What is read back from each clip's stored bytes and stored tensors (from ``features``), the latter in one string."""
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[list] = [[] for _ in range(6)]
-        for x in batch.column(2):
+        for x, raw, active in zip(batch.column(2), batch.column(3), batch.column(4), strict=True):
             stored = x.as_py()
             payload = from_wav(stored)[0]
-            for column, value in zip(out, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), describe(stored)), strict=True):
+            for column, value in zip(out, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), describe(from_ipc(raw.as_py()), active.values)), strict=True):
                 column.append(value)
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, out, kinds)], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    kind = media.schema["doc_id"].dataType.simpleString()
-    return map_batches(media.select("doc_id", "n_bytes", "media"), f"doc_id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string", rows)
+    kind = clips.schema["doc_id"].dataType.simpleString()
+    return map_batches(clips.select("doc_id", "n_bytes", "media", "tensors", "active"), f"doc_id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string", rows)

@@ -31,7 +31,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio.digest(audio.store(table(spark, sf_dir, "documents")))
+    return audio.digest(audio.features(audio.store(table(spark, sf_dir, "documents"))))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
