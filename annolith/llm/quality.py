@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_GAP
+from .common import WORD_GAP, stored
 
 WINDOW = 3
 SYMBOLS = "#*$%&|<>"
@@ -120,6 +120,11 @@ def ledger(measured: DataFrame) -> DataFrame:
     return measured.withColumn("failed", bits)
 
 
+def stored_ledger(df: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The ledger in the shared folder: policies and ablations that come later read no text."""
+    return stored(ledger(measure(df, text=text, key=key)), "ledger")
+
+
 def kept(policy: str) -> Column:
     """Whether a row of the ledger passes a policy."""
     return F.col("failed").bitwiseAND(F.lit(mask(policy))) == 0

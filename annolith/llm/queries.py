@@ -38,6 +38,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), "corpus-1").select("doc_id", *quality.MEASURES[:5], "base_failed", "kept", "failed", "policy")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy costs, from the stored ledger: the texts are read once."""
+    return quality.ablation(quality.stored_ledger(table(spark, sf_dir, "documents")), "corpus-1")
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -67,14 +72,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_ngram_lm,
         op10_personal_data,
+        quality_ablation,
     )
 }
 
 _WORDS = r"w AS (SELECT doc_id, coalesce(text, '') AS t, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents)"
 
-#: SQL for the queries that it can express; tests hold the others against brute-force versions.
-ORACLES: dict[str, str] = {
-    "op6_quality_rules": rf"""WITH {_WORDS},
+_LEDGER = rf"""WITH {_WORDS},
 g AS (SELECT doc_id, k, words[k] AS a, words[k + 1] AS b, words[k + 2] AS c FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS k FROM w)),
 r AS (SELECT doc_id, k FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g) WHERE n > 1),
 v AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) AS p FROM r) GROUP BY doc_id),
@@ -82,8 +86,14 @@ l AS (SELECT doc_id, t, words, [x FOR x IN string_split(t, chr(10)) IF regexp_ma
 m AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
  len(lines) AS n_lines, length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS n_upper, length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS n_alpha, len([x FOR x IN words IF x = '|']) AS n_bar_words,
  len(regexp_extract_all(t, '(?i)\b(?:{"|".join(quality.ABUSE)})\b')) AS n_toxic FROM l LEFT JOIN v USING (doc_id)),
-f AS (SELECT *, {" + ".join(f"CASE WHEN {condition} THEN {1 << k} ELSE 0 END" for k, (_, condition) in enumerate(quality.RULES))} AS failed FROM m)
+f AS (SELECT *, {" + ".join(f"CASE WHEN {condition} THEN {1 << k} ELSE 0 END" for k, (_, condition) in enumerate(quality.RULES))} AS failed FROM m)"""
+
+#: SQL for the queries that it can express; tests hold the others against brute-force versions.
+ORACLES: dict[str, str] = {
+    "op6_quality_rules": rf"""{_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & {quality.mask(quality.BASE_RULES)}) <> 0 AS base_failed, (failed & {quality.mask("corpus-1")}) = 0 AS kept, CAST(failed AS BIGINT) AS failed, 'corpus-1' AS policy FROM f""",
+    "quality_ablation": rf"""{_LEDGER}, b AS (SELECT CAST(failed & {quality.mask("corpus-1")} AS BIGINT) AS failed FROM f), r AS (SELECT unnest([{", ".join(f"'{name}'" for name in quality.POLICIES["corpus-1"])}]) AS rule, unnest([{", ".join(str(quality.mask((name,))) for name in quality.POLICIES["corpus-1"])}]) AS bit)
+SELECT count(*) AS n, count(*) FILTER (failed = 0) AS kept, rule, count(*) FILTER ((failed & bit) <> 0) AS failed, count(*) FILTER (failed = bit) AS failed_alone, count(*) FILTER (failed = 0 OR failed = bit) AS kept_without FROM b, r GROUP BY rule, bit""",
     "op8_substring_dedup": rf"""WITH {_WORDS},
 k AS (SELECT doc_id, k, array_to_string(words[k:k + 49], ' ') AS x FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS k FROM w WHERE len(words) >= 50)),
 d AS (SELECT doc_id, k FROM (SELECT doc_id, k, min(doc_id) OVER (PARTITION BY x) AS first FROM k) WHERE first < doc_id),
