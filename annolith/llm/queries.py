@@ -92,8 +92,8 @@ f AS (SELECT *, {" + ".join(f"CASE WHEN {condition} THEN {1 << k} ELSE 0 END" fo
 ORACLES: dict[str, str] = {
     "op6_quality_rules": rf"""{_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & {quality.mask(quality.BASE_RULES)}) <> 0 AS base_failed, (failed & {quality.mask("corpus-1")}) = 0 AS kept, CAST(failed AS BIGINT) AS failed, 'corpus-1' AS policy FROM f""",
-    "quality_ablation": rf"""{_LEDGER}, b AS (SELECT CAST(failed & {quality.mask("corpus-1")} AS BIGINT) AS failed FROM f), r AS (SELECT unnest([{", ".join(f"'{name}'" for name in quality.POLICIES["corpus-1"])}]) AS rule, unnest([{", ".join(str(quality.mask((name,))) for name in quality.POLICIES["corpus-1"])}]) AS bit)
-SELECT count(*) AS n, count(*) FILTER (failed = 0) AS kept, rule, count(*) FILTER ((failed & bit) <> 0) AS failed, count(*) FILTER (failed = bit) AS failed_alone, count(*) FILTER (failed = 0 OR failed = bit) AS kept_without FROM b, r GROUP BY rule, bit""",
+    "quality_ablation": rf"""{_LEDGER}, b AS (SELECT CAST(failed & {quality.mask("corpus-1")} AS BIGINT) AS failed FROM f), z AS (SELECT unnest([{", ".join(f"'{name}'" for name in quality.POLICIES["corpus-1"])}]) AS rule, unnest([{", ".join(str(quality.mask((name,))) for name in quality.POLICIES["corpus-1"])}]) AS bit)
+SELECT count(*) AS n, count(*) FILTER (failed = 0) AS kept, rule, count(*) FILTER ((failed & bit) <> 0) AS failed, count(*) FILTER (failed = bit) AS failed_alone, count(*) FILTER (failed = 0 OR failed = bit) AS kept_without FROM b, z GROUP BY rule, bit""",
     "op8_substring_dedup": rf"""WITH {_WORDS},
 k AS (SELECT doc_id, k, array_to_string(words[k:k + 49], ' ') AS x FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS k FROM w WHERE len(words) >= 50)),
 d AS (SELECT doc_id, k FROM (SELECT doc_id, k, min(doc_id) OVER (PARTITION BY x) AS first FROM k) WHERE first < doc_id),
