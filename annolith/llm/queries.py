@@ -52,7 +52,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return ngram_lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), order=2)
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
