@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, map_batches, stored
+from .common import discard, stored
 from .packing import chunk_cache
 
 START, BITS, ORDERS = 0xFFFF, 16, 4
 ALPHA = 0.4
 #: Units of a slice (a longer document stays whole).
-SLICE = 4_000_000
+SLICE = 2_000_000
 
 
 def token_slices(df: DataFrame, tokenizer_file: str, *, units: int = SLICE, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -92,15 +92,17 @@ def _slice_of(row_sizes, row_ids) -> tuple[np.ndarray, np.ndarray]:
 def counts(slices: DataFrame, order: int) -> DataFrame:
     """n, gram, c and x (its context's count) of every n-gram of orders 1 to ``order``, over all slices."""
 
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        every = []
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for sizes, ids in zip(batch.column(0), batch.column(1), strict=True):
             w, n = _slice_of(sizes, ids)
-            every.append(np.unique(grams(w, _places(n), order), return_counts=True))
-        gram = np.concatenate([g for g, _ in every])
-        return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(np.concatenate([c for _, c in every]).astype(np.int64))], ["gram", "c"])
+            gram, c = np.unique(grams(w, _places(n), order), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(c.astype(np.int64))], ["gram", "c"])
 
-    table = stored(map_batches(slices.select("sizes", "ids"), "gram bigint, c bigint", rows).groupBy("gram").agg(F.sum("c").alias("c")), "grams")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from rows(batch)
+
+    table = stored(slices.select("sizes", "ids").mapInArrow(run, "gram bigint, c bigint").groupBy("gram").agg(F.sum("c").alias("c")), "grams")
     out = None
     for n in range(order, 0, -1):
         of = table if n == order else table.groupBy(F.col("gram").bitwiseAND(F.lit((1 << BITS * n) - 1)).alias("gram")).agg(F.sum("c").alias("c"))
