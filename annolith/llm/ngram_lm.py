@@ -34,7 +34,7 @@ from .packing import chunk_cache
 START, BITS, ORDERS = 0xFFFF, 16, 4
 ALPHA = 0.4
 #: Units of a slice (a longer document stays whole).
-SLICE = 2_000_000
+SLICE = 1_000_000
 
 
 def token_slices(df: DataFrame, tokenizer_file: str, *, units: int = SLICE, text: str = "text", key: str = "doc_id") -> DataFrame:
