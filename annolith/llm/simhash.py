@@ -288,9 +288,8 @@ def _by_bucket(work, schema: pa.Schema):
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
-#: A pair (a, b), or with a key the member a of a large bucket.
-FIRST = "a bigint, b bigint, key bigint, n int, place int, bits bigint"
-FIRST_ROWS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("bits", pa.int64())])
+#: Texts of a bucket that one task holds against the bucket; larger buckets are searched in so many parts.
+BLOCK = 2_000
 
 
 def _distinct_pairs(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -303,53 +302,35 @@ def _sizes(key: np.ndarray) -> np.ndarray:
     return np.repeat(np.diff(cuts), np.diff(cuts))
 
 
-def _first_pairs(similarity: float):
-    """All pairs of small buckets; in large ones each text with the centre, the text nearest to the majority of bits.
+def _small_pairs(similarity: float):
+    """All pairs of buckets of up to SMALL texts."""
 
-    The members of large buckets are given again, for further rounds.
-    """
-
-    def work(key, doc, n, place, bits):
-        size, bits = _sizes(key), np.ascontiguousarray(bits)
+    def work(key, doc, n, place):
         found = [np.zeros((0, 2), np.int64)]
-        small = size <= SMALL
         for lag in range(1, SMALL):
             if len(key) > lag:
-                at = np.flatnonzero((key[lag:] == key[:-lag]) & small[:-lag])
+                at = np.flatnonzero(key[lag:] == key[:-lag])
                 found.append(np.stack([at, at + lag], axis=1))
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
-        for a in starts[~small[starts]].tolist():
-            z = a + int(size[a])
-            own = bits[a:z].view(np.uint64)
-            count = np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-            middle = np.packbits(count * 2 > z - a).view(np.uint64)[0]
-            centre = a + int(np.argmin(np.bitwise_count(own ^ middle)))
-            found.append(np.stack([np.full(z - a, centre), np.arange(a, z)], axis=1))
         at = np.concatenate(found)
         i, j = at[:, 0], at[:, 1]
         pairs = _distinct_pairs(doc, at[_allowed(n[i], place[i], n[j], place[j], similarity)])
-        big = np.flatnonzero(~small)
-        none, zero = np.ones(len(pairs), bool), np.zeros(len(pairs), np.int64)
-        columns = [np.concatenate([pairs[:, 0], doc[big]]), np.concatenate([pairs[:, 1], doc[big]])]
-        gone = np.concatenate([none, np.zeros(len(big), bool)])
-        return columns + [np.ma.array(np.concatenate([zero, x[big]]), mask=gone) for x in (key, n, place, bits)]
+        return pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), bool)
 
-    return _by_bucket(work, FIRST_ROWS)
+    return _by_bucket(work, PAIRS)
 
 
 def _more_pairs(similarity: float, width: int):
-    """For each text outside its bucket's largest component, the ``width`` likest members of other ones.
+    """For each text that its part of the bucket is to look at, the ``width`` likest members of other components.
 
     A row (doc, doc, true) says that a text has further members to try.
     """
 
-    def work(key, doc, n, place, bits, label):
-        size, bits = _sizes(key), np.ascontiguousarray(bits).view(np.uint64)
+    def work(bucket, doc, n, place, bits, label, seeks):
+        size, bits = _sizes(bucket), np.ascontiguousarray(bits).view(np.uint64)
         found, rest = [np.zeros((0, 2), np.int64)], []
-        for a in np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1]).tolist():
+        for a in np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1]).tolist():
             own = slice(a, a + int(size[a]))
-            labels, of, many = np.unique(label[own], return_inverse=True, return_counts=True)
-            for i in (a + np.flatnonzero(of != np.argmax(many))).tolist():
+            for i in (a + np.flatnonzero(seeks[own])).tolist():
                 other = a + np.flatnonzero((label[own] != label[i]) & _allowed(n[own], place[own], n[i], place[i], similarity))
                 if len(other) > width:
                     rest.append(doc[i])
@@ -362,6 +343,23 @@ def _more_pairs(similarity: float, width: int):
     return _by_bucket(work, PAIRS)
 
 
+def _searched(large: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows of the buckets with several components, once for each part of the bucket, with what the part is to seek.
+
+    A part seeks for its share of the texts outside the bucket's largest component, so a bucket of any size is worked
+    on by as many tasks as it has parts; a row of it is a few numbers.
+    """
+    own = large.join(label, large.doc == label.node, "left").select("key", "doc", "n", "place", "bits", F.coalesce("label", "doc").alias("label"))
+    groups = own.groupBy("key", "label").agg(F.count("*").alias("_m"))
+    open_ = groups.groupBy("key").agg(F.max(F.struct("_m", "label")).alias("_top"), F.sum("_m").alias("_size"), F.count("*").alias("_groups")).where("_groups > 1")
+    outside = (F.col("_size") - F.col("_top._m")).alias("_outside")
+    rows = own.join(open_.select("key", F.col("_top.label").alias("_label"), outside), "key")
+    parts = F.ceil(F.col("_outside") / BLOCK).cast("int")
+    dealt = rows.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("_of", F.pmod(F.xxhash64("doc"), parts))
+    seeks = (F.col("label") != F.col("_label")) & (F.col("_of") == F.col("part"))
+    return dealt.select(F.xxhash64("key", "part").alias("bucket"), "doc", "n", "place", "bits", "label", seeks.alias("seeks"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, df: DataFrame, shingle: int, similarity: float, text: str, key: str) -> DataFrame:
     """The pairs whose sets have the similarity: sketches tell most of the others, whole texts the rest."""
     own = docs.select("doc_id", "sketch", "shingles")
@@ -396,9 +394,10 @@ def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, t
     key is a bigint.  Sets that similar share one of their first members in any order common to all texts, so
     every such pair meets in a bucket.  Pairs are dropped by the sets' sizes, places and sketches only where
     these rule the similarity out; all others are verified on whole texts.  Texts of equal words are one node.
-    In buckets of over SMALL texts each is first held against the bucket's centre.  What is not yet joined goes on
-    to further rounds: texts outside their bucket's largest component are held against ever more members of
-    other components, the likest first, until no pair of different components is untried.
+    In buckets of over SMALL texts each is first held against the bucket's first text, by a join that adaptive
+    execution can split.  What is not yet joined goes on to further rounds: texts outside their bucket's largest
+    component are held against ever more members of other components, the likest first, until no pair of different
+    components is untried.  Large buckets are searched in parts, by as many tasks.
     """
     docs = stored(signatures(df, shingle=shingle, similarity=similarity, text=text, key=key), "signatures")
     nodes = docs.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
@@ -406,16 +405,18 @@ def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, t
     equal = docs.where("doc_id IS NOT NULL").join(nodes, "digest").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
     chosen = stored(docs.join(nodes.select(F.col("least").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]), "chosen")
     members = chosen.select(F.posexplode("first").alias("place", "key"), F.col("doc_id").alias("doc"), F.col("shingles").alias("n"), "bits").select("key", "doc", "n", "place", "bits")
-    dealt = stored(members.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_first_pairs(similarity), FIRST), "first-pairs")
-    tried = stored(dealt.where("key IS NULL").select("a", "b").distinct(), "pairs")
-    large = dealt.where("key IS NOT NULL").select("key", F.col("a").alias("doc"), "n", "place", "bits")
+    sizes = members.groupBy("key").agg(F.count("*").alias("_m"), F.min(F.struct("doc", "n", "place")).alias("_c")).where("_m > 1")
+    shared = stored(members.join(sizes, "key"), "members")
+    small = shared.where(F.col("_m") <= SMALL).select("key", "doc", "n", "place").repartition("key").sortWithinPartitions("key", "doc")
+    large = shared.where(F.col("_m") > SMALL)
+    fits = F.least("n", "_c.n") >= similarity * F.greatest("n", "_c.n") - 1e-9
+    reach = F.least(F.col("n") - F.col("place"), F.col("_c.n") - F.col("_c.place")) >= similarity / (1 + similarity) * (F.col("n") + F.col("_c.n")) - 1e-9
+    with_centre = large.where((F.col("doc") > F.col("_c.doc")) & fits & reach).select(F.col("_c.doc").alias("a"), F.col("doc").alias("b"))
+    tried = stored(small.mapInArrow(_small_pairs(similarity), "a bigint, b bigint, more boolean").select("a", "b").unionByName(with_centre).distinct(), "pairs")
     near = _verified(tried, chosen, df, shingle, similarity, text, key)
     width = SMALL
     while True:
-        label = components(near)
-        own = large.join(label, large.doc == label.node, "left").select("key", "doc", "n", "place", "bits", F.coalesce("label", "doc").alias("label"))
-        open_ = own.groupBy("key").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p <> q").select("key")
-        live = own.join(open_, "key").repartition("key").sortWithinPartitions("key", "doc")
+        live = _searched(large.select("key", "doc", "n", "place", "bits"), components(near)).repartition("bucket").sortWithinPartitions("bucket", "doc")
         found = stored(live.mapInArrow(_more_pairs(similarity, width), "a bigint, b bigint, more boolean").distinct(), "pairs")
         new = stored(found.where("NOT more").select("a", "b").join(tried, ["a", "b"], "left_anti"), "untried")
         more, untried = not found.where("more").isEmpty(), not new.isEmpty()
