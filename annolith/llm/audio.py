@@ -31,6 +31,7 @@ FRAME, HOP, FFT, BANDS = 200, 80, 256, 32
 FRAMES = 64
 OPEN_DB, CLOSE_DB = 3.0, 1.0
 BLOCK = 2048  # frames worked on at once
+CLIPS = 128  # clips whose media and tensors a worker holds at once
 
 
 def payload_of(text: str | None) -> tuple[bytes, int]:
@@ -209,7 +210,7 @@ def store(df: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFram
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for _, n in got], pa.int64()), pa.array([to_wav(p) for p, _ in got], pa.binary())], ["doc_id", "n_bytes", "media"])
 
     kind = df.schema[key].dataType.simpleString()
-    return map_batches(df.select(df[key].alias("doc_id"), df[text]), f"doc_id {kind}, n_bytes bigint, media binary", rows)
+    return map_batches(df.select(df[key].alias("doc_id"), df[text]), f"doc_id {kind}, n_bytes bigint, media binary", rows, CLIPS)
 
 
 def features(media: DataFrame) -> DataFrame:
@@ -224,7 +225,7 @@ def features(media: DataFrame) -> DataFrame:
         spans = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(span))
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array([t for t, _ in got], pa.binary()), pa.ListArray.from_arrays(pa.array(counts), spans)], ["doc_id", "n_bytes", "media", "tensors", "active"])
 
-    return map_batches(media.select("doc_id", "n_bytes", "media"), f"doc_id {kind}, n_bytes bigint, media binary, tensors binary, active array<struct<start_s:double,end_s:double>>", rows)
+    return map_batches(media.select("doc_id", "n_bytes", "media"), f"doc_id {kind}, n_bytes bigint, media binary, tensors binary, active array<struct<start_s:double,end_s:double>>", rows, CLIPS)
 
 
 def digest(clips: DataFrame) -> DataFrame:

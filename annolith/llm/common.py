@@ -69,13 +69,13 @@ def release(spark: SparkSession) -> None:
 ROWS = 1024
 
 
-def map_batches(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+def map_batches(df: DataFrame, schema: str, rows: Callable[[pa.RecordBatch], pa.RecordBatch], at_once: int = ROWS) -> DataFrame:
     """One Arrow batch out for each slice of a batch in; keeps no state from one to the next."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, ROWS):
-                yield rows(batch.slice(k, ROWS))
+            for k in range(0, batch.num_rows, at_once):
+                yield rows(batch.slice(k, at_once))
 
     return df.mapInArrow(run, schema)
 
