@@ -90,17 +90,28 @@ def bounded(first: Column, last: Column, important: Column, maximum: int) -> Col
     Important frames alone are cut to the maximum, the lowest first.
     """
     none = F.array().cast("array<int>")
-    own = F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce(important, none), lambda x: x.cast("int")), lambda x: x.between(first, last))))
-    room = F.lit(maximum) - F.size(own)
-    step = (last - first) / F.nullif(room - 1, F.lit(0))
-    spread = F.transform(int_range(F.lit(0), room), lambda k: F.when(k == 0, first).when(k == room - 1, last).otherwise(F.bround(k * step + first)).cast("int"))
-    both = F.array_union(own, spread)
-    low = F.array_except(int_range(first, F.least(last, first + 2 * maximum) + 1), both)
-    filled = F.concat(both, F.slice(low, F.lit(1), F.greatest(F.lit(0), F.lit(maximum) - F.size(both))))
-    some = F.when(room <= 0, F.slice(own, 1, maximum)).otherwise(F.slice(F.array_sort(filled), 1, maximum))
+    inside = F.filter(F.transform(F.coalesce(important, none), lambda x: x.cast("int")), lambda x: x.between(first, last))
+
+    def from_own(own: Column) -> Column:
+        room = F.lit(maximum) - F.size(own)
+        step = (last - first) / F.nullif(room - 1, F.lit(0))
+        spread = F.transform(int_range(F.lit(0), room), lambda k: F.when(k == 0, first).when(k == room - 1, last).otherwise(F.bround(k * step + first)).cast("int"))
+        return F.when(room <= 0, F.slice(own, 1, maximum)).otherwise(_once(F.array_union(own, spread), filled))
+
+    def filled(both: Column) -> Column:
+        low = F.array_except(int_range(first, F.least(last, first + 2 * maximum) + 1), both)
+        more = F.slice(low, F.lit(1), F.greatest(F.lit(0), F.lit(maximum) - F.size(both)))
+        return F.slice(F.array_sort(F.concat(both, more)), 1, maximum)
+
+    some = _once(F.array_sort(F.array_distinct(inside)), from_own)
     return F.when(first.isNull() | last.isNull() | (last < first), none).when(last - first < maximum, int_range(first, last + 1)).otherwise(some)
 
 
+def _once(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def fallback_frames(frame_count: Column, maximum: int = 12) -> Column:
     """Up to ``maximum`` evenly spaced frames, cut to whole numbers, each once."""
     spread = F.transform(F.sequence(F.lit(0), F.lit(maximum - 1)), lambda k: F.floor(k * (frame_count - 1) / (maximum - 1)).cast("int"))
