@@ -333,9 +333,9 @@ def durable_rate(spark, sf_dir):
 # Text and scalars
 
 
-@query()
+@query("SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events")
 def first_json_object(spark, sf_dir):
-    """Fenced and trailing text around the object, which SQL's JSON functions reject."""
+    """The object of an answer with text and a fence around it."""
     e = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("Answer:\n```json\n"), "props", F.lit("\n```\nand more {")).alias("raw"))
     return e.select("event_id", F.get_json_object(pyfuncs.first_json_object("raw"), "$.k").cast("bigint").alias("k"))
 
