@@ -192,6 +192,10 @@ def first_per_batch(rows: DataFrame, n: int, *, batch: str = "batch", order: str
 
 
 def failed_first(rows: DataFrame, failed: DataFrame, *, uid: str = "uid", pos: str = "pos") -> DataFrame:
-    """Stable: rows that failed before come first."""
+    """Stable: rows that failed before come first.  Adds row_index, the place in that order, and sorts by it.
+
+    The place comes from the keys alone; a number given to sorted rows as they pass changes with their partitions.
+    """
     flagged = rows.join(failed.select(uid).distinct().withColumn("_failed", F.lit(1)), uid, "left")
-    return flagged.orderBy(F.coalesce("_failed", F.lit(0)).desc(), pos).drop("_failed")
+    placed = numbered(flagged.withColumn("_failed", -F.coalesce("_failed", F.lit(0))), ["_failed", pos])
+    return placed.orderBy("row_index").drop("_failed")

@@ -549,8 +549,7 @@ def first_wins(spark, sf_dir):
 def failed_first(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("uid"), F.col("c_custkey").alias("pos"))
     out = sets.failed_first(c, table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("uid")))
-    ordered = out.withColumn("_id", F.monotonically_increasing_id())
-    return sets.numbered(ordered, ["_id"]).select("uid", (F.col("row_index") + 1).alias("n"))
+    return out.select("uid", (F.col("row_index") + 1).alias("n"))
 
 
 @query("SELECT c_custkey FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer) WHERE i // 64 < 5 AND i % 64 < 10")
