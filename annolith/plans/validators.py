@@ -22,30 +22,44 @@ SHA = "0123456789abcdef" * 4
 ROWS = "r AS (SELECT o_orderkey AS o, 1 + o_orderkey % 3 AS n FROM orders), s AS (SELECT o, n, i, o * 4 + i AS k FROM (SELECT *, unnest(range(0, CAST(n AS BIGINT))) AS i FROM r))"
 
 
-def written(template: str, marks: Marks) -> Column:
-    """The template with <name> as the sound or the faulty text of a mark, and {expression} as a number."""
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def chosen(condition: str, bad: str, good: str) -> str:
+    """SQL of one of two texts (also SQL); k is the order's number and the segment's place i."""
+    return f"CASE WHEN {re.sub(r'\bk\b', '(o * 4 + i)', condition)} THEN {bad} ELSE {good} END"
+
+
+def written_sql(template: str, marks: Marks) -> str:
+    """SQL of the template with <name> as the sound or the faulty text of a mark, and {expression} as a number."""
     parts = []
     for piece in re.split(r"(<\w+>|\{\{.+?\}\})", re.sub(r"\n\s*", "", template)):
         if piece.startswith("{{"):
-            parts.append(F.expr(piece[2:-2]).cast("string"))
+            parts.append(f"CAST({piece[2:-2]} AS STRING)")
         elif piece.startswith("<"):
             good, bad, condition = marks[piece[1:-1]]
-            parts.append(F.when(F.expr(condition), F.lit(bad)).otherwise(F.lit(good)))
+            parts.append(chosen(condition, *map(quoted, (bad, good))))
         elif piece:
-            parts.append(F.lit(piece))
-    return F.concat(*parts)
+            parts.append(quoted(piece))
+    return f"concat({', '.join(parts)})"
+
+
+def written(template: str, marks: Marks) -> Column:
+    return F.expr(written_sql(template, marks))
 
 
 def orders(spark, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("o"), (1 + F.col("o_orderkey") % 3).cast("int").alias("n"))
 
 
-def segments(spark, sf_dir: str, **texts: Column) -> DataFrame:
-    """o, n and, for each text, the array of the segments' texts in order."""
-    rows = orders(spark, sf_dir).select("o", "n", F.posexplode(F.sequence(F.lit(1), "n")).alias("i", "_")).withColumn("k", F.col("o") * 4 + F.col("i"))
-    named = [F.struct("i", c.alias("t")) for c in texts.values()]
-    sums = [F.array_join(F.transform(F.array_sort(F.collect_list(s)), lambda x: x["t"]), ",").alias(name) for name, s in zip(texts, named, strict=True)]
-    return rows.groupBy("o", "n").agg(*sums)
+def segments(spark, sf_dir: str, **texts: str) -> DataFrame:
+    """o, n and, for each text (SQL on o and i), the segments' texts in order.
+
+    Orders are dealt to all cores before they become texts a hundred times their size; the texts are not shuffled.
+    """
+    dealt = orders(spark, sf_dir).repartition(4 * spark.sparkContext.defaultParallelism, "o")
+    return dealt.select("o", "n", *[F.expr(f"array_join(transform(sequence(0, n - 1), i -> {sql}), ',')").alias(name) for name, sql in texts.items()])
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -76,19 +90,19 @@ ECOT_RECORD: Marks = {
 }
 
 
-def _ecot_frame() -> Column:
+def _ecot_frame() -> str:
     inner = '{"scene_description":"A table.","task_progress":"<progress>","current_subtask":{"subtask":"move the cup.","action":"move","object":"cup","source":"None",<fields>},"atomic_action":"<action>"<more>}'
     said = inner.replace('"', '\\"').replace('<fields>', '<q_fields>').replace("<more>", "<q_more>")
     marks = ECOT_FRAME | {f"q_{m}": (ECOT_FRAME[m][0].replace('"', '\\"'), ECOT_FRAME[m][1].replace('"', '\\"'), ECOT_FRAME[m][2]) for m in ("fields", "more")}
-    index = F.when(F.expr(ECOT_FRAME["index"][2]), F.lit("-1")).otherwise(F.col("i").cast("string"))
-    time = F.when(F.expr(ECOT_FRAME["time"][2]), F.lit("9")).otherwise((F.col("i") / 2).cast("string"))
-    head = F.concat(F.lit('{"sampled_frame_index":'), index, F.lit(',"sampled_time_seconds":'), time)
+    index = chosen(ECOT_FRAME["index"][2], "'-1'", "CAST(i AS STRING)")
+    time = chosen(ECOT_FRAME["time"][2], "'9'", "CAST(i / 2 AS STRING)")
+    head = f"""'{{"sampled_frame_index":', {index}, ',"sampled_time_seconds":', {time}"""
     template = (
         f',"structured_ecot":{inner},"scene_description":"<scene>","task_progress":"<progress>","current_subtask":{{"subtask":"move the cup.","action":"move","object":"cup","source":"None",<fields>}},"atomic_action":"<action><frame_action>",'
         f'"messages":[{{"role":"<role>","content":[{{"type":"image","image":"a.png"}},{{"type":"text","text":"Give the atomic_action."}}]}},{{"role":"<answer>","content":"<content>{said}"}}<turns>],'
         f'"training_input":{{"image":"a.png",<input>}},"training_target":{inner.replace("A table.", "<training>")}}}'
     )
-    return F.concat(head, written(template, marks))
+    return f"concat({head}, {written_sql(template, marks)})"
 
 
 def _ecot_sql() -> str:
@@ -115,7 +129,7 @@ def _ecot_sql() -> str:
 
 @query(_ecot_sql())
 def ecot_contract(spark, sf_dir):
-    request = written('{"stage":"<stage>","media_kind":"<kind>"}', ECOT_RECORD)
+    request = written_sql('{"stage":"<stage>","media_kind":"<kind>"}', ECOT_RECORD)
     rows = segments(spark, sf_dir, frames=_ecot_frame(), requests=request)
     head = '{"task_instruction_source":"<source>","ecot_interval":<interval>,"sampled_frame_count":{{n}},"ecot_sample_type":"<sample>","sampling_fps":<fps>,'
     contract = f'"annotation_contract":{{"schema":"{contracts.ECOT_SCHEMA}","one_teacher_request_per_selected_frame":true,"teacher_receives_complete_0_5fps_video":true,"teacher_sampling_fps":<teacher>,"target_sampling_fps":2.0,"training_excludes_privileged_video":true}},"<frames>":['
@@ -137,8 +151,8 @@ GRD_RECORD: Marks = {
 }
 
 
-def _grd_segment() -> Column:
-    model = F.when(F.expr(GRD_RECORD["model"][2]), F.lit("unknown")).otherwise(F.lit(contracts.REVIEW_MODELS[0]))
+def _grd_segment() -> str:
+    model = chosen(GRD_RECORD["model"][2], "'unknown'", quoted(contracts.REVIEW_MODELS[0]))
     one = (
         '{"subtask":{"id":"s{{i}}","subtask":"<text>","start_time_seconds":{{i / 2}},"end_time_seconds":{{i / 2 + 0.5}}},"task_instruction_source":"<source>","task_instruction":"<text><instruction>",'
         '"media_scope":{"kind":"<scope>","anchor_frame_index":<anchor>{{i}},"anchor_time_seconds":{{i / 2}},"grounding_media":{"kind":"<still>","sampling_fps":2.0},"first_object_media":{"fps":<clip>,"encoded_duration_seconds":4.0,"maximum_future_seconds":4.0,"anchor_fps":2.0}},'
@@ -146,7 +160,8 @@ def _grd_segment() -> Column:
         '"task_first_object":"<first>","task_first_object_selection":{"task_first_object":"<first><selected>"},"inventory_review":{"policy":"' + contracts.REVIEW_POLICY + '","model":"'
     )
     # 100.5 + ... the centre of [101, 200, 300, 400] is [200.5, 300], and half goes to the even 200
-    return F.concat(written(one.replace('"center_xy_1000":[<center>,300]', '"center_xy_1000":[<center>,300]'), GRD_SEGMENT | {"center": ("200", "201", GRD_SEGMENT["center"][2])}), model, written('","accepted":<reviewed>}}<again>]}}', GRD_SEGMENT))
+    seen = written_sql(one, GRD_SEGMENT | {"center": ("200", "201", GRD_SEGMENT["center"][2])})
+    return f"concat({seen}, {model}, {written_sql('","accepted":<reviewed>}}<again>]}}', GRD_SEGMENT)})"
 
 
 def _grd_sql() -> str:
@@ -180,8 +195,8 @@ def _grd_sql() -> str:
 
 @query(_grd_sql())
 def grd_contract(spark, sf_dir):
-    now = written('{"stage":"<stage>","media_kind":"<now>"}', {"stage": GRD_RECORD["stage"], "now": GRD_SEGMENT["now"]})
-    later = written('{"stage":"future_first_object_selection","media_kind":"<later>"}', GRD_SEGMENT)
+    now = written_sql('{"stage":"<stage>","media_kind":"<now>"}', {"stage": GRD_RECORD["stage"], "now": GRD_SEGMENT["now"]})
+    later = written_sql('{"stage":"future_first_object_selection","media_kind":"<later>"}', GRD_SEGMENT)
     rows = segments(spark, sf_dir, results=_grd_segment(), now=now, later=later)
     head = '{"task_instruction_source":"<source>","subtask_result_sha256":"<sha>","rejected_subtask_results":<rejected>,"inventory_review_summary":{"policy":"' + contracts.REVIEW_POLICY + '","model":"<model>","total_frames":<total>{{n}},"accepted_frames":{{n}},"rejected_frames":0},"<results>":['
     result = F.concat(written(head, GRD_RECORD), "results", F.lit("]}"))
@@ -203,8 +218,8 @@ STA_RECORD: Marks = {
 }
 
 
-def _sta_segment() -> Column:
-    event_id = F.when(F.expr(STA_SEGMENT["id"][2]), F.lit("")).otherwise(F.concat(F.lit("e"), F.col("i").cast("string")))
+def _sta_segment() -> str:
+    event_id = chosen(STA_SEGMENT["id"][2], "''", "concat('e', CAST(i AS STRING))")
     head = (
         '{"subtask":{"id":"s{{i}}","subtask":"pick the cup"},"task_instruction_source":"<source>","task_instruction":"pick the cup","result":{"contact_frame_authority":"<authority>","parent_cpa_segment_sha256":"<sha>","rejected_contact_event_proposals":<proposals>,"<events>":[{"event_id":"'
     )
@@ -212,11 +227,11 @@ def _sta_segment() -> Column:
         '","accepted":<accepted>,"contact_frame_source":"<frame>","contact_frame_selection":{"valid_contact":<valid>,"requested_subtask_id":"<requested>{{i}}","selected_candidate":{"subtask_id":"<candidate>{{i}}"}},"contact_subtask_id":"<step>{{i}}",'
         '"contact_time_seconds":{{i + 1}},"contact_event_name":"<name>","object_name":"cup","contact_verb":"pick","observation_sampling":{"version":"<version>","no_intervening_cpa_final_contact":true,"selected_frame_count":1,"grounded_observation_count":<grounded>,"invisible_observation_count":0,'
     )
-    previous = F.concat(F.lit('"'), F.when(F.expr(STA_RECORD["previous"][2]), F.lit("no_")).otherwise(F.lit("")), F.lit('previous_contact_time_seconds":'), F.when(F.col("i") > 0, F.col("i").cast("string")).otherwise(F.lit("null")))
+    previous = f"""'"', {chosen(STA_RECORD["previous"][2], "'no_'", "''")}, 'previous_contact_time_seconds":', CASE WHEN i > 0 THEN CAST(i AS STRING) ELSE 'null' END"""
     seen = (
         '},"observations":[{"bbox_xyxy_1000":[100,200,<corner>,400],"bbox_source":"<box>","contact_frame_source":"<origin>","no_intervening_cpa_final_contact":<between>,"contact_event_name":"<name><event>","next_contact_noun":"<noun>","next_contact_verb":"<verb>","time_seconds":{{i + 0.5}},"time_to_contact_seconds":<until>}]}]}}'
     )
-    return F.concat(written(head, STA_SEGMENT), event_id, written(body, STA_SEGMENT), previous, written(seen, STA_SEGMENT))
+    return f"concat({written_sql(head, STA_SEGMENT)}, {event_id}, {written_sql(body, STA_SEGMENT)}, {previous}, {written_sql(seen, STA_SEGMENT)})"
 
 
 def _sta_sql() -> str:
@@ -247,7 +262,7 @@ def _sta_sql() -> str:
 
 @query(_sta_sql())
 def sta_contract(spark, sf_dir):
-    box = written('{"stage":"cpa_final_random_observation_bbox","media_kind":"<kind>"}', STA_SEGMENT)
+    box = written_sql('{"stage":"cpa_final_random_observation_bbox","media_kind":"<kind>"}', STA_SEGMENT)
     rows = segments(spark, sf_dir, results=_sta_segment(), boxes=box)
     head = (
         '{"task_instruction_source":"<source>","subtask_result_sha256":"<sha>","contact_frame_authority":"<authority>","parent_cpa_result_sha256":"<parent>","sta_observation_policy":{"version":"'
