@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, stored
@@ -263,6 +263,16 @@ def _allowed(n: np.ndarray, place: np.ndarray, m, at, similarity: float) -> np.n
     return fits & (1 + np.minimum(n - place, m - at) - 1 >= similarity / (1 + similarity) * (n + m) - 1e-9)
 
 
+def _near(p: np.ndarray, q: np.ndarray, of: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of together ``of`` members may be similar enough by their sketches, which never rule out a pair that is."""
+    return np.bitwise_count(p ^ q).sum(axis=1, dtype=np.int64) <= (1 - similarity) / (1 + similarity) * of + 1e-9
+
+
+def _met(p: np.ndarray, q: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i and j name an earlier bucket (p the last one, q the one before; 0: none) that holds both."""
+    return (p[i] != 0) & ((p[i] == p[j]) | (p[i] == q[j])) | (q[i] != 0) & ((q[i] == p[j]) | (q[i] == q[j]))
+
+
 def _by_bucket(work, schema: pa.Schema):
     """Runs work on whole buckets of rows that are sorted by their first column."""
 
@@ -303,9 +313,9 @@ def _sizes(key: np.ndarray) -> np.ndarray:
 
 
 def _small_pairs(similarity: float):
-    """All pairs of buckets of up to SMALL texts."""
+    """All pairs of buckets of up to SMALL texts, but for those that an earlier one has."""
 
-    def work(key, doc, n, place):
+    def work(key, doc, n, place, p, q):
         found = [np.zeros((0, 2), np.int64)]
         for lag in range(1, SMALL):
             if len(key) > lag:
@@ -313,7 +323,7 @@ def _small_pairs(similarity: float):
                 found.append(np.stack([at, at + lag], axis=1))
         at = np.concatenate(found)
         i, j = at[:, 0], at[:, 1]
-        pairs = _distinct_pairs(doc, at[_allowed(n[i], place[i], n[j], place[j], similarity)])
+        pairs = _distinct_pairs(doc, at[_allowed(n[i], place[i], n[j], place[j], similarity) & ~_met(p, q, i, j)])
         return pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), bool)
 
     return _by_bucket(work, PAIRS)
@@ -322,16 +332,21 @@ def _small_pairs(similarity: float):
 def _more_pairs(similarity: float, width: int):
     """For each text that its part of the bucket is to look at, the ``width`` likest members of other components.
 
-    A row (doc, doc, true) says that a text has further members to try.
+    Members are passed over if an earlier bucket holds both texts or if the sketches rule the similarity out, so the rows
+    made are the pairs that may be similar, about once each, and not the pairs of unlike texts in all buckets that they
+    share.  A row (doc, doc, true) says that a text has further members to try.
     """
 
-    def work(bucket, doc, n, place, bits, label, seeks):
+    def work(bucket, doc, n, place, bits, p, q, label, seeks, sketch):
         size, bits = _sizes(bucket), np.ascontiguousarray(bits).view(np.uint64)
+        sketches = np.frombuffer(b"".join(sketch), np.uint64).reshape(-1, SKETCH // 64)
         found, rest = [np.zeros((0, 2), np.int64)], []
         for a in np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1]).tolist():
             own = slice(a, a + int(size[a]))
             for i in (a + np.flatnonzero(seeks[own])).tolist():
                 other = a + np.flatnonzero((label[own] != label[i]) & _allowed(n[own], place[own], n[i], place[i], similarity))
+                other = other[~_met(p, q, i, other)]
+                other = other[_near(sketches[other], sketches[i], n[other].astype(np.int64) + n[i], similarity)]
                 if len(other) > width:
                     rest.append(doc[i])
                     other = other[np.argsort(np.bitwise_count(bits[other] ^ bits[i]), kind="stable")[:width]]
@@ -349,7 +364,7 @@ def _searched(large: DataFrame, label: DataFrame) -> DataFrame:
     A part seeks for its share of the texts outside the bucket's largest component, so a bucket of any size is worked
     on by as many tasks as it has parts; a row of it is a few numbers.
     """
-    own = large.join(label, large.doc == label.node, "left").select("key", "doc", "n", "place", "bits", F.coalesce("label", "doc").alias("label"))
+    own = large.join(label, large.doc == label.node, "left").select(*large.columns, F.coalesce("label", "doc").alias("label"))
     groups = own.groupBy("key", "label").agg(F.count("*").alias("_m"))
     open_ = groups.groupBy("key").agg(F.max(F.struct("_m", "label")).alias("_top"), F.sum("_m").alias("_size"), F.count("*").alias("_groups")).where("_groups > 1")
     outside = (F.col("_size") - F.col("_top._m")).alias("_outside")
@@ -357,7 +372,7 @@ def _searched(large: DataFrame, label: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("_outside") / BLOCK).cast("int")
     dealt = rows.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("_of", F.pmod(F.xxhash64("doc"), parts))
     seeks = (F.col("label") != F.col("_label")) & (F.col("_of") == F.col("part"))
-    return dealt.select(F.xxhash64("key", "part").alias("bucket"), "doc", "n", "place", "bits", "label", seeks.alias("seeks"))
+    return dealt.select(F.xxhash64("key", "part").alias("bucket"), *[c for c in large.columns if c != "key"], "label", seeks.alias("seeks"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, df: DataFrame, shingle: int, similarity: float, text: str, key: str) -> DataFrame:
@@ -366,9 +381,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, df: DataFrame, shingle: int, si
 
     def close(batch: pa.RecordBatch) -> pa.RecordBatch:
         p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for k in (2, 3))
-        apart = np.bitwise_count(p ^ q).sum(axis=1, dtype=np.int64)
-        most = (1 - similarity) / (1 + similarity) * batch.column(4).to_numpy(zero_copy_only=False)
-        return batch.select(["a", "b"]).filter(pa.array(apart <= most + 1e-9))
+        return batch.select(["a", "b"]).filter(pa.array(_near(p, q, batch.column(4).to_numpy(zero_copy_only=False), similarity)))
 
     sides = pairs.join(own.select(F.col("doc_id").alias("a"), F.col("sketch").alias("p"), F.col("shingles").alias("n")), "a")
     sides = sides.join(own.select(F.col("doc_id").alias("b"), F.col("sketch").alias("q"), F.col("shingles").alias("m")), "b")
@@ -388,35 +401,53 @@ def _verified(pairs: DataFrame, docs: DataFrame, df: DataFrame, shingle: int, si
     return stored(map_batches(both, "a bigint, b bigint", verify).distinct(), "similar")
 
 
+def _buckets(members: DataFrame) -> DataFrame:
+    """Members (key, doc, text, n, place, bits) of buckets with two texts or more, with _m (how many), _c (the first) and p and q.
+
+    text is a hash that tells a doc's texts apart.  Of buckets that hold the same texts only the first in the common order
+    stays: it is before the others in each of these texts, so no pair has its first common shingle in the others.  p and q
+    are the last two buckets (small or large ones, like its own) that hold the text before this one, or 0; a pair that has
+    one of them in common met there, and in its first common bucket it has none.
+    """
+    texts = [F.bit_xor(F.col("text")).alias("_x"), F.bit_xor(F.xxhash64("text")).alias("_y")]
+    sizes = members.groupBy("key").agg(F.count("*").alias("_m"), F.min(F.struct("doc", "text", "n", "place")).alias("_c"), *texts).where("_m > 1")
+    first = sizes.groupBy("_m", "_x", "_y").agg(F.min(F.struct(F.col("_c.place").alias("place"), "key", "_c")).alias("_f"))
+    shared = members.join(first.select(F.col("_f.key").alias("key"), "_m", F.col("_f._c").alias("_c")), "key")
+    before = Window.partitionBy("doc", "text", F.col("_m") > SMALL).orderBy("place")
+    return shared.select("*", *[F.coalesce(F.lag("key", k).over(before), F.lit(0)).alias(c) for k, c in ((1, "p"), (2, "q"))])
+
+
 def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(a, b): links between documents whose sets of shingles have a Jaccard similarity of at least ``similarity``.
 
     key is a bigint.  Sets that similar share one of their first members in any order common to all texts, so
-    every such pair meets in a bucket.  Pairs are dropped by the sets' sizes, places and sketches only where
+    every such pair meets in a bucket, and the first one in which it meets is enough.  Pairs are dropped by the sets' sizes, places and sketches only where
     these rule the similarity out; all others are verified on whole texts.  Texts of equal words are one node.
     In buckets of over SMALL texts each is first held against the bucket's first text, by a join that adaptive
     execution can split.  What is not yet joined goes on to further rounds: texts outside their bucket's largest
     component are held against ever more members of other components, the likest first, until no pair of different
-    components is untried.  Large buckets are searched in parts, by as many tasks.
+    components that the sketches leave is untried.  Large buckets are searched in parts, by as many tasks.
     """
     docs = stored(signatures(df, shingle=shingle, similarity=similarity, text=text, key=key), "signatures")
     nodes = docs.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
     nodes = stored(nodes, "texts")
     equal = docs.where("doc_id IS NOT NULL").join(nodes, "digest").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
     chosen = stored(docs.join(nodes.select(F.col("least").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]), "chosen")
-    members = chosen.select(F.posexplode("first").alias("place", "key"), F.col("doc_id").alias("doc"), F.col("shingles").alias("n"), "bits").select("key", "doc", "n", "place", "bits")
-    sizes = members.groupBy("key").agg(F.count("*").alias("_m"), F.min(F.struct("doc", "n", "place")).alias("_c")).where("_m > 1")
-    shared = stored(members.join(sizes, "key"), "members")
-    small = shared.where(F.col("_m") <= SMALL).select("key", "doc", "n", "place").repartition("key").sortWithinPartitions("key", "doc")
+    chosen = chosen.withColumn("text", F.xxhash64("doc_id", "digest"))
+    members = chosen.select(F.posexplode("first").alias("place", "key"), F.col("doc_id").alias("doc"), "text", F.col("shingles").alias("n"), "bits").select("key", "doc", "text", "n", "place", "bits")
+    shared = stored(_buckets(members), "members")
+    small = shared.where(F.col("_m") <= SMALL).select("key", "doc", "n", "place", "p", "q").repartition("key").sortWithinPartitions("key", "doc")
     large = shared.where(F.col("_m") > SMALL)
     fits = F.least("n", "_c.n") >= similarity * F.greatest("n", "_c.n") - 1e-9
     reach = F.least(F.col("n") - F.col("place"), F.col("_c.n") - F.col("_c.place")) >= similarity / (1 + similarity) * (F.col("n") + F.col("_c.n")) - 1e-9
     with_centre = large.where((F.col("doc") > F.col("_c.doc")) & fits & reach).select(F.col("_c.doc").alias("a"), F.col("doc").alias("b"))
     tried = stored(small.mapInArrow(_small_pairs(similarity), "a bigint, b bigint, more boolean").select("a", "b").unionByName(with_centre).distinct(), "pairs")
     near = _verified(tried, chosen, df, shingle, similarity, text, key)
+    sketches = chosen.select(F.col("doc_id").alias("doc"), "text", "sketch")
     width = SMALL
     while True:
-        live = _searched(large.select("key", "doc", "n", "place", "bits"), components(near)).repartition("bucket").sortWithinPartitions("bucket", "doc")
+        live = _searched(large.select("key", "doc", "text", "n", "place", "bits", "p", "q"), components(near)).join(sketches, ["doc", "text"])
+        live = live.select("bucket", "doc", "n", "place", "bits", "p", "q", "label", "seeks", "sketch").repartition("bucket").sortWithinPartitions("bucket", "doc")
         found = stored(live.mapInArrow(_more_pairs(similarity, width), "a bigint, b bigint, more boolean").distinct(), "pairs")
         new = stored(found.where("NOT more").select("a", "b").join(tried, ["a", "b"], "left_anti"), "untried")
         more, untried = not found.where("more").isEmpty(), not new.isEmpty()

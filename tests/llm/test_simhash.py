@@ -178,3 +178,32 @@ def test_a_hot_bucket_is_searched_in_parts(spark):
     parts = simhash._searched(large, label).groupBy("bucket").agg(F.count("*").alias("m"), F.count_if("seeks").alias("s")).collect()
     assert len(parts) == -(-(n // 3) // simhash.BLOCK) and {r.m for r in parts} == {n}
     assert sum(r.s for r in parts) == n // 3 and max(r.s for r in parts) < 2 * simhash.BLOCK
+
+
+def test_unlike_texts_of_a_bucket_make_no_pairs(spark, monkeypatch):
+    """40 texts share a passage and meet in many buckets; none is like another but for two copies, so searching on makes no pair."""
+    stored, searched = simhash.stored, []
+
+    def counted(df, what):
+        out = stored(df, what)
+        if what == "untried":
+            searched.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "stored", counted)
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(i, " ".join(passage + [f"o{i}-{k}" for k in range(20)])) for i in range(40)]
+    rows.append((40, rows[39][1] + " end"))
+    want, _ = plain_links(rows)
+    got = simhash.similar_links(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.a, r.b) for r in got.collect()} == want == {(39, 40)}
+    assert sum(searched) <= 1
+
+
+def test_a_pair_meets_in_its_first_bucket(spark):
+    """Of buckets with the same texts one stays; later buckets of a pair name one that has it."""
+    held = {1: [10, 11, 12], 2: [10, 11, 12], 3: [10, 11], 4: [12]}
+    rows = [(key, doc, doc * 7, 20, key - 1, 0) for key, docs in held.items() for doc in docs]
+    members = spark.createDataFrame(rows, "key bigint, doc bigint, text bigint, n int, place int, bits bigint")
+    got = sorted((r.key, r.doc, r._m, r._c.doc, r.p, r.q) for r in simhash._buckets(members).collect())
+    assert got == [(1, 10, 3, 10, 0, 0), (1, 11, 3, 10, 0, 0), (1, 12, 3, 10, 0, 0), (3, 10, 2, 10, 1, 0), (3, 11, 2, 10, 1, 0)]
