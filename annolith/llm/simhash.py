@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored
+from .common import discard, map_batches, release, stored
 from .substring_dedup import rolled, word_hashes
 
 BITS, SEED = 64, 42
@@ -408,9 +408,15 @@ def _buckets(members: DataFrame) -> DataFrame:
     stays: it is before the others in each of these texts, so no pair has its first common shingle in the others.  p and q
     are the last two buckets (small or large ones, like its own) that hold the text before this one, or 0; a pair that has
     one of them in common met there, and in its first common bucket it has none.
+
+    Most keys have one text only.  Bare counts tell these, so that what is grouped is the members of shared keys.
     """
+    several = stored(members.groupBy("key").count().where("count > 1").select("key"), "shared-keys")
+    release(members.sparkSession)
+    members = stored(members.join(several, "key", "left_semi"), "shared-members")
+    release(members.sparkSession)
     texts = [F.bit_xor(F.col("text")).alias("_x"), F.bit_xor(F.xxhash64("text")).alias("_y")]
-    sizes = members.groupBy("key").agg(F.count("*").alias("_m"), F.min(F.struct("doc", "text", "n", "place")).alias("_c"), *texts).where("_m > 1")
+    sizes = members.groupBy("key").agg(F.count("*").alias("_m"), F.min(F.struct("doc", "text", "n", "place")).alias("_c"), *texts)
     first = sizes.groupBy("_m", "_x", "_y").agg(F.min(F.struct(F.col("_c.place").alias("place"), "key", "_c")).alias("_f"))
     shared = members.join(first.select(F.col("_f.key").alias("key"), "_m", F.col("_f._c").alias("_c")), "key")
     before = Window.partitionBy("doc", "text", F.col("_m") > SMALL).orderBy("place")
@@ -431,11 +437,14 @@ def similar_links(df: DataFrame, *, shingle: int = 5, similarity: float = 0.8, t
     docs = stored(signatures(df, shingle=shingle, similarity=similarity, text=text, key=key), "signatures")
     nodes = docs.where("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
     nodes = stored(nodes, "texts")
-    equal = docs.where("doc_id IS NOT NULL").join(nodes, "digest").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    equal = stored(docs.where("doc_id IS NOT NULL").join(nodes, "digest").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")), "equal")
     chosen = stored(docs.join(nodes.select(F.col("least").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]), "chosen")
+    discard(docs, nodes)
+    release(df.sparkSession)
     chosen = chosen.withColumn("text", F.xxhash64("doc_id", "digest"))
     members = chosen.select(F.posexplode("first").alias("place", "key"), F.col("doc_id").alias("doc"), "text", F.col("shingles").alias("n"), "bits").select("key", "doc", "text", "n", "place", "bits")
     shared = stored(_buckets(members), "members")
+    release(df.sparkSession)
     small = shared.where(F.col("_m") <= SMALL).select("key", "doc", "n", "place", "p", "q").repartition("key").sortWithinPartitions("key", "doc")
     large = shared.where(F.col("_m") > SMALL)
     fits = F.least("n", "_c.n") >= similarity * F.greatest("n", "_c.n") - 1e-9

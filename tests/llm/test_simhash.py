@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 import xxhash
@@ -207,3 +209,39 @@ def test_a_pair_meets_in_its_first_bucket(spark):
     members = spark.createDataFrame(rows, "key bigint, doc bigint, text bigint, n int, place int, bits bigint")
     got = sorted((r.key, r.doc, r._m, r._c.doc, r.p, r.q) for r in simhash._buckets(members).collect())
     assert got == [(1, 10, 3, 10, 0, 0), (1, 11, 3, 10, 0, 0), (1, 12, 3, 10, 0, 0), (3, 10, 2, 10, 1, 0), (3, 11, 2, 10, 1, 0)]
+
+
+def test_keys_of_one_text_are_not_grouped(spark):
+    """Of 60,000 keys all but ten have one text: besides the rows themselves only counts of their keys are shuffled."""
+
+    def written():
+        sc = spark.sparkContext._jsc.sc()
+        sc.listenerBus().waitUntilEmpty(30_000)
+        return sc.statusStore().executorList(False).head().totalShuffleWrite()
+
+    some = spark.range(60_000).selectExpr("xxhash64(id) AS key", "id DIV 100 AS doc", "xxhash64(id DIV 100) AS text", "500 AS n", "CAST(id % 100 AS int) AS place", "xxhash64(-id DIV 100) AS bits")
+    members = simhash.stored(some.unionByName(some.where("doc < 10 AND place = 0").withColumns({"doc": F.lit(9_000).cast("bigint"), "text": F.lit(9).cast("bigint")})), "some")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = written()
+    try:
+        assert simhash._buckets(members).count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (written() - before) / 60_010 < 40  # bytes a row; 47 when all rows were grouped with their texts, 31 now
+
+
+def test_signatures_go_before_buckets_are_made(spark, monkeypatch):
+    """Texts are chosen from the signatures, which then leave the disk; both hold every first shingle."""
+    stored, there = simhash.stored, {}
+
+    def noted(df, what):
+        there[what] = stored(df, what)
+        if what == "members":
+            there["then"] = {k: os.path.exists(there[k].stored_at.removeprefix("file:")) for k in ("signatures", "texts", "chosen")}
+        return there[what]
+
+    monkeypatch.setattr(simhash, "stored", noted)
+    words = [f"w{k}" for k in range(100)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words)), (3, " ".join(words + ["end"]))], "doc_id bigint, text string")
+    assert {(r.a, r.b) for r in simhash.similar_links(df).collect()} == {(1, 2), (1, 3)}
+    assert there["then"] == {"signatures": False, "texts": False, "chosen": True}
